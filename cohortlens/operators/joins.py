@@ -4,21 +4,23 @@
 exchanged at most once, the chain reuses the partitioning, and AQE turns small
 sides into broadcasts and splits skewed left sides.
 
-``salted_star_join`` gives the same rows when a key repeats so often that one task
-could not hold it. Only keys measured as hot are split; they are found by a
+``salted_star_join`` gives the same rows when a key repeats so often that one
+task could not hold it. Only keys measured as hot are split; they are found by a
 count per key that is combined map-side before its shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot only if it also holds at least 1/10,000 of its table, so there
-# are at most 10,000 hot keys per side: this bounds what gets broadcast.
-MAX_HOT_KEYS = 10_000
+# A key is hot only if it also holds at least 1/100,000 of its table, so a table
+# has at most 100,000 hot keys: this bounds what gets broadcast.
+MAX_HOT_KEYS = 100_000
 # NULL keys match nothing and need no partner, so they are simply spread.
 NULL_KEY_SPREAD = 1024
 
@@ -38,50 +40,18 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
         .groupBy(key)
         .agg(F.count("*").alias("n"))
         .where((F.col("n") >= hot_rows) & (F.col("n") * MAX_HOT_KEYS >= total))
-        .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
+        .select(key, F.ceil(F.col("n") / hot_rows).alias("parts"))
     )
 
 
-def _both_sides(left_hot: DataFrame, right_hot: DataFrame, key: str) -> DataFrame:
-    """Per hot key the number of parts on the left (``_ls``) and on the right (``_rs``)."""
-    return (
-        left_hot.withColumnRenamed("salts", "_ls")
-        .join(right_hot.withColumnRenamed("salts", "_rs"), key, "full")
-        .select(key, F.coalesce("_ls", F.lit(1)).alias("_ls"), F.coalesce("_rs", F.lit(1)).alias("_rs"))
-    )
-
-
-def _deal_and_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
-    def tagged(df: DataFrame) -> DataFrame:
-        spread = F.xxhash64(F.spark_partition_id(), *df.columns)
-        return (
-            df.withColumn("_spread", spread)
-            .join(F.broadcast(hot), key, "left")
-            .withColumns({"_ls": F.coalesce("_ls", F.lit(1)), "_rs": F.coalesce("_rs", F.lit(1))})
-        )
-
-    def part(salts: Column) -> Column:
-        return F.pmod("_spread", salts.cast("long")).cast("int")
-
-    def every(salts: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), salts - 1))
-
-    ls, rs = F.col("_ls"), F.col("_rs")
-    left_part = F.when(F.col(key).isNull(), part(F.lit(NULL_KEY_SPREAD))).otherwise(part(ls))
-    dealt_left = tagged(left).withColumn("_l", left_part).withColumn("_r", every(rs)).drop("_spread", "_ls")
-    dealt_right = (
-        tagged(right.where(F.col(key).isNotNull()))
-        .withColumn("_r", part(rs))
-        .withColumn("_l", every(ls))
-        .drop("_spread", "_ls", "_rs")
-        .withColumn("_hit", F.lit(True))
-    )
-    joined = dealt_left.join(dealt_right, [key, "_l", "_r"], how)
-    if how == "left":
-        # A key split on the right has a partner somewhere, so a copy that met
-        # none in its own part is no unmatched row.
-        joined = joined.where(F.col("_hit").isNotNull() | (rs == 1))
-    return joined.drop("_l", "_r", "_rs", "_hit")
+def _parts_per_table(tables: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
+    """One row per key that is hot anywhere; ``_p<i>`` is its number of parts in table i."""
+    per_table = [hot_keys(df, key, hot_rows).withColumn("i", F.lit(i)) for i, df in enumerate(tables)]
+    parts = [
+        F.coalesce(F.max(F.when(F.col("i") == i, F.col("parts"))), F.lit(1)).alias(f"_p{i}")
+        for i in range(len(tables))
+    ]
+    return reduce(DataFrame.unionByName, per_table).groupBy(key).agg(*parts)
 
 
 def salted_star_join(
@@ -89,9 +59,10 @@ def salted_star_join(
 ) -> DataFrame:
     """The rows of ``star_join``, with hot keys split on either side of each join.
 
-    A key hot on the left has its left rows dealt over ``_l`` parts and its
-    right rows copied to each part; a key hot on the right the other way round.
-    Each matching pair still meets exactly once. All other keys have one part.
+    In each join a key hot on the left has its left rows dealt over parts ``_l``
+    and its right rows copied to every part; a key hot on the right the other way
+    round over ``_r``. Each matching pair still meets exactly once. All other
+    keys have one part.
 
     The part of a row is a hash of its values and of its input partition: equal
     rows from different splits get different parts, and a re-run task gives the
@@ -102,14 +73,40 @@ def salted_star_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    joined, left_hot = spine, hot_keys(spine, key, hot_rows)
-    for satellite in satellites:
-        hot = _both_sides(left_hot, hot_keys(satellite, key, hot_rows), key)
-        joined = _deal_and_join(joined, satellite, key, how, hot)
-        left_hot = hot.select(key, (F.col("_ls") * F.col("_rs")).alias("salts"))
-    return joined
+    satellites = list(satellites)
+    parts = [f"_p{i}" for i in range(len(satellites) + 1)]
+    hot = F.broadcast(_parts_per_table([spine, *satellites], key, hot_rows))
+
+    def tagged(df: DataFrame, spread: str) -> DataFrame:
+        hashed = F.xxhash64(F.spark_partition_id(), *df.columns)
+        return df.withColumn(spread, hashed).join(hot, key, "left").na.fill(1, parts)
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    joined = tagged(spine, "_spread")
+    for i, satellite in enumerate(satellites, 1):
+        left_parts = reduce(mul, [F.col(p) for p in parts[:i]])
+        right_parts = F.col(parts[i])
+        left_part = F.pmod("_spread", F.when(F.col(key).isNull(), NULL_KEY_SPREAD).otherwise(left_parts))
+        dealt_left = joined.withColumn("_l", left_part).withColumn("_r", every(right_parts))
+        dealt_right = (
+            tagged(satellite.where(F.col(key).isNotNull()), "_hit")
+            .withColumn("_r", F.pmod("_hit", right_parts))
+            .withColumn("_l", every(left_parts))
+            .drop(*parts)
+        )
+        joined = dealt_left.join(dealt_right, [key, "_l", "_r"], how)
+        if how == "left":
+            # A key split on the right has a partner somewhere, so a copy that
+            # met none in its own part is no unmatched row.
+            joined = joined.where(F.col("_hit").isNotNull() | (right_parts == 1))
+        joined = joined.withColumn("_spread", F.xxhash64("_spread", "_hit")).drop("_l", "_r", "_hit")
+    return joined.drop("_spread", *parts)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_rows: int = 1_000_000
+) -> DataFrame:
     """Two-table form of ``salted_star_join``."""
     return salted_star_join(left, [right], key, how, hot_rows)

@@ -104,9 +104,9 @@ class Pipeline:
     def predict(self) -> dict[str, int]:
         """Fits on the training part and stores scores and the test part's AUC."""
         cfg = self.cfg
-        ready = model.assemble(model.features(self.read("gold_student_risk_profile")))
+        ready = model.features(self.read("gold_student_risk_profile"))
         train, test = model.split(ready, cfg.train_fraction, cfg.seed, cfg.split)
-        fitted = model.fit(train)
+        fitted = model.fit(model.assemble(train))
         chosen = {"test": test, "all": ready}[cfg.score_on]
         metrics = self.spark.range(1).select(
             F.lit(model.auc(model.score(fitted, test))).alias("auc"), F.current_timestamp().alias("run_timestamp")
@@ -119,16 +119,15 @@ class Pipeline:
     def alert(self) -> dict[str, int]:
         rules = self.cfg.rules
         predictions = self.read("gold_dropout_predictions")
-        self.write_layer(
-            "alerts",
-            {"gold_high_risk_alerts": lambda: alerts.stamped(alerts.high_risk(predictions, rules.alert_probability))},
-        )
         return self.write_layer(
-            "digest",
+            "alerts",
             {
+                "gold_high_risk_alerts": lambda: alerts.stamped(
+                    alerts.high_risk(predictions, rules.alert_probability)
+                ),
                 "gold_alert_digest": lambda: alerts.digest(
                     self.read("gold_high_risk_alerts"), self.read("gold_student_risk_profile"), rules.alert_top_k
-                )
+                ),
             },
         )
 

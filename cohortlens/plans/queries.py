@@ -21,7 +21,7 @@ from cohortlens.schemas import RAW_FILES
 from cohortlens.session import shared_folder
 from cohortlens.sources.audit import newest_first
 from cohortlens.sources.files import manifest, read_csv, stamp, write_csv
-from cohortlens.sources.orders_cohort import OrdersCohort
+from cohortlens.sources.orders_cohort import OrdersCohort, read_table
 from cohortlens.sources.tables import create_database, save_table
 
 RULES = Rules()
@@ -31,8 +31,10 @@ def _raw(spark: SparkSession, sf: str) -> OrdersCohort:
     return OrdersCohort(spark, sf)
 
 
-def _silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {name: silver.TRANSFORMS[name](df, RULES) for name, df in _raw(spark, sf).tables().items()}
+def _silver(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    """The named silver tables, or all five."""
+    raw = _raw(spark, sf)
+    return {name: silver.TRANSFORMS[name](raw.table(name), RULES) for name in names or RAW_FILES}
 
 
 def _profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +104,8 @@ def audit_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def agg_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.row_counts(_raw(spark, sf).tables())
+    raw = _raw(spark, sf)
+    return quality.row_counts({name: raw.table(name) for name in RAW_FILES})
 
 
 def agg_global_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +122,7 @@ def dq_unique_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_repeated_key(spark: SparkSession, sf: str) -> DataFrame:
     """The same check where keys do repeat: orders per customer."""
-    return quality.key_check(spark.read.parquet(f"{sf}/orders.parquet"), "o_custkey")
+    return quality.key_check(read_table(spark, sf, "orders"), "o_custkey")
 
 
 def dq_inject_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,7 +185,7 @@ def silver_retention_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_factor_count(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _silver(spark, sf)
+    tables = _silver(spark, sf, "academic", "attendance", "socio")
     return silver.factor_count_label(tables["academic"], tables["attendance"], tables["socio"])
 
 
@@ -211,8 +214,8 @@ def join_left_star_salted(spark: SparkSession, sf: str) -> DataFrame:
 
 def join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with their orders, busy customers' orders dealt over several tasks."""
-    customers = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("k"), "c_mktsegment")
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus")
+    customers = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    orders = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus")
     return joins.salted_join(customers, orders, "k", "left", hot_rows=4)
 
 
@@ -234,11 +237,11 @@ def gold_student_risk_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_attendance_vs_performance(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.attendance_vs_performance(_silver(spark, sf), RULES)
+    return gold.attendance_vs_performance(_silver(spark, sf, "students", "attendance", "academic"), RULES)
 
 
 def gold_dropout_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.dropout_trends(_silver(spark, sf), RULES)
+    return gold.dropout_trends(_silver(spark, sf, "students", "retention"), RULES)
 
 
 def gold_intervention_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,8 +279,8 @@ def ml_hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = model.split(model.assemble(model.features(_profile(spark, sf))))
-    return model.score(model.fit(train), test)
+    train, test = model.split(model.features(_profile(spark, sf)))
+    return model.score(model.fit(model.assemble(train)), test)
 
 
 def ml_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,11 +350,10 @@ def alert_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cohort_status(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _raw(spark, sf)
-    students = silver.students(raw.students()).select("student_id", "region", "enrollment_year")
-    return joins.star_join(
-        students, [silver.retention(raw.retention()).select("student_id", "retention_risk_flag")], "student_id", "inner"
-    )
+    tables = _silver(spark, sf, "students", "retention")
+    students = tables["students"].select("student_id", "region", "enrollment_year")
+    status = tables["retention"].select("student_id", "retention_risk_flag")
+    return joins.star_join(students, [status], "student_id", "inner")
 
 
 def alert_institution_trend(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,7 +365,7 @@ def alert_region_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_order_trend(spark: SparkSession, sf: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+    orders = read_table(spark, sf, "orders").select(
         F.year("o_orderdate").alias("order_year"), (F.col("o_orderstatus") == "F").alias("is_final")
     )
     return alerts.rate_trend(orders, "order_year", "is_final")

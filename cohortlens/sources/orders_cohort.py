@@ -6,12 +6,22 @@ kind of dirty value into the tables; the rules are listed in ``FIXTURES.md``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _every(n: int, rest: int) -> Column:
-    return F.col("k") % n == rest
+# Schemas of the given tables: naming them saves a job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 class OrdersCohort:
@@ -22,82 +32,64 @@ class OrdersCohort:
         self._dir = sf_dir
 
     def _read(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{table}.parquet")
+        return read_table(self._spark, self._dir, table)
 
     def _customers(self) -> DataFrame:
-        return self._read("customer").withColumns(
-            {
-                "k": F.col("c_custkey"),
-                "student_id": F.concat(F.lit("S"), (F.col("c_custkey") + 100_000).cast("string")),
-            }
+        return self._read("customer").selectExpr(
+            "*", "c_custkey AS k", "concat('S', cast(c_custkey + 100000 AS string)) AS student_id"
         )
 
-    def _with_orders(self, *measures: Column) -> DataFrame:
-        per_customer = self._read("orders").groupBy(F.col("o_custkey").alias("k")).agg(*measures)
-        return self._customers().join(per_customer, "k", "left")
+    def _with_orders(self, measure: str) -> DataFrame:
+        per_customer = self._read("orders").groupBy("o_custkey").agg(F.expr(measure))
+        return self._customers().join(per_customer.withColumnRenamed("o_custkey", "k"), "k", "left")
 
     def students(self) -> DataFrame:
         nation, region = self._read("nation"), self._read("region")
-        places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        gender = (
-            F.when(_every(33, 0), F.lit(None).cast("string"))
-            .when(_every(29, 0), "Other")
-            .when(_every(2, 0), " Male ")
-            .otherwise("Female")
-        )
+        places = nation.join(region, nation.n_regionkey == region.r_regionkey)
         return (
             self._customers()
-            .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
+            .join(places.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+            .selectExpr(
                 "student_id",
-                gender.alias("gender"),
-                F.when(_every(12, 0), F.lower("r_name")).otherwise(F.col("r_name")).alias("region"),
-                F.col("n_name").alias("school_id"),
-                F.when(_every(50, 1), 15).otherwise(6 + F.col("k") % 7).cast("int").alias("grade_level"),
-                (2014 + F.col("k") % 10).cast("int").alias("enrollment_year"),
-                F.lower("c_mktsegment").alias("program_type"),
+                "CASE WHEN k % 33 = 0 THEN NULL WHEN k % 29 = 0 THEN 'Other' "
+                "WHEN k % 2 = 0 THEN ' Male ' ELSE 'Female' END AS gender",
+                "if(k % 12 = 0, lower(r_name), r_name) AS region",
+                "n_name AS school_id",
+                "cast(if(k % 50 = 1, 15, 6 + k % 7) AS int) AS grade_level",
+                "cast(2014 + k % 10 AS int) AS enrollment_year",
+                "lower(c_mktsegment) AS program_type",
             )
         )
 
     def academic(self) -> DataFrame:
-        urgent = (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        score = F.when(_every(20, 1), F.lit(None).cast("double")).when(_every(97, 0), 120.0)
-        return self._with_orders(F.count_if(urgent).cast("int").alias("nf")).select(
+        urgent = "o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"
+        return self._with_orders(f"cast(count_if({urgent}) AS int) AS nf").selectExpr(
             "student_id",
-            score.otherwise(F.floor("c_acctbal") / 100).alias("avg_score"),
-            F.when(_every(40, 3), F.lit(None).cast("int")).otherwise(F.col("nf")).alias("failed_subjects"),
+            "CASE WHEN k % 20 = 1 THEN NULL WHEN k % 97 = 0 THEN 120D ELSE floor(c_acctbal) / 100 END AS avg_score",
+            "if(k % 40 = 3, NULL, nf) AS failed_subjects",
         )
 
     def attendance(self) -> DataFrame:
-        total = F.when(_every(61, 5), F.lit(None).cast("int")).when(_every(60, 0), 0).otherwise(180)
-        present = F.when(_every(25, 2), F.lit(None).cast("int")).otherwise((F.col("nd") * 14).cast("int"))
-        return self._with_orders(F.count_distinct("o_orderdate").alias("nd")).select(
-            "student_id", total.alias("total_days"), present.alias("days_present")
+        return self._with_orders("cast(count(DISTINCT o_orderdate) AS int) AS nd").selectExpr(
+            "student_id",
+            "CASE WHEN k % 61 = 5 THEN NULL WHEN k % 60 = 0 THEN 0 ELSE 180 END AS total_days",
+            "if(k % 25 = 2, NULL, nd * 14) AS days_present",
         )
 
     def socio(self) -> DataFrame:
-        band = (
-            F.when(_every(17, 0), F.lit(None).cast("string"))
-            .when(F.col("c_acctbal") < 3000, " Low")
-            .when(F.col("c_acctbal") < 7000, "Middle")
-            .otherwise("High")
+        return self._customers().selectExpr(
+            "student_id",
+            "CASE WHEN k % 17 = 0 THEN NULL WHEN c_acctbal < 3000 THEN ' Low' "
+            "WHEN c_acctbal < 7000 THEN 'Middle' ELSE 'High' END AS family_income_band",
+            "CASE k % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN 'True' ELSE 'False' END AS working_part_time",
         )
-        job = F.when(_every(8, 0), "Yes").when(_every(8, 1), "True").otherwise("False")
-        return self._customers().select("student_id", band.alias("family_income_band"), job.alias("working_part_time"))
 
     def retention(self) -> DataFrame:
-        cutoff = F.lit("2000-11-01 00:00:00").cast("timestamp_ntz")
-        dropped = F.when(_every(50, 7), F.lit(None).cast("boolean")).otherwise(F.col("lastd") < cutoff)
-        reason = F.when(_every(3, 0), F.lit(None).cast("string")).otherwise("Financial Issues")
-        return self._with_orders(F.max("o_orderdate").alias("lastd")).select(
-            "student_id", dropped.alias("dropout_flag"), reason.alias("dropout_reason")
+        return self._with_orders("max(o_orderdate) AS lastd").selectExpr(
+            "student_id",
+            "if(k % 50 = 7, NULL, lastd < timestamp_ntz '2000-11-01 00:00:00') AS dropout_flag",
+            "if(k % 3 = 0, NULL, 'Financial Issues') AS dropout_reason",
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "students": self.students(),
-            "academic": self.academic(),
-            "attendance": self.attendance(),
-            "socio": self.socio(),
-            "retention": self.retention(),
-        }
+    def table(self, name: str) -> DataFrame:
+        return getattr(self, name)()

@@ -1,0 +1,118 @@
+"""A cohort in the shape of the five landing files, drawn by hashing ids.
+
+Same shares as the documented synthetic data: normal scores around 65 clipped to
+30..95, 60..179 of 180 days, income bands 40/40/20, a quarter with a job. Nothing
+depends on partitioning, so every run sees the same rows.
+"""
+
+from pyspark.sql import functions as F
+
+from cohortlens.functions.cleaning import clamp, percentage, right_closed_band
+from cohortlens.functions.scoring import factor_count
+from cohortlens.operators.quality import inject_errors, stable_bucket
+from cohortlens.schemas import RAW_FILES
+from cohortlens.sources.files import write_csv
+
+
+def uniform(name):
+    return (stable_bucket(F.col("student_id"), name, 1_000_000) + 0.5) / 1_000_000
+
+
+def pick(name, *shares):
+    """One of several values by share, e.g. ("Low", 0.4), ("High", 1.0) cumulated."""
+    column = F.lit(None)
+    for value, upto in reversed(shares):
+        column = F.when(uniform(name) < upto, F.lit(value)).otherwise(column)
+    return column
+
+
+def raw_tables(spark, n=5500):
+    normal = F.sqrt(-2 * F.log(uniform("n1"))) * F.cos(2 * F.pi() * uniform("n2"))
+    everything = (
+        spark.range(n)
+        .select(F.concat(F.lit("S"), (F.col("id") + 100_000).cast("string")).alias("student_id"))
+        .withColumns(
+            {
+                "gender": pick("gender", ("Male", 0.5), ("Female", 1.0)),
+                "date_of_birth": F.date_add(F.lit("2000-01-01").cast("date"), (uniform("born") * 3287).cast("int")),
+                "region": pick("region", ("North", 0.2), ("South", 0.4), ("East", 0.6), ("West", 0.8), ("Central", 1.0)),
+                "school_id": F.concat(F.lit("SCH_"), (1 + (uniform("school") * 20).cast("int")).cast("string")),
+                "grade_level": 6 + (uniform("grade") * 7).cast("int"),
+                "enrollment_year": 2019 + (uniform("enrolled") * 5).cast("int"),
+                "program_type": pick("program", ("Science", 0.33), ("Commerce", 0.67), ("Arts", 1.0)),
+                "academic_year": pick("year", ("2019-20", 0.25), ("2020-21", 0.5), ("2021-22", 0.75), ("2022-23", 1.0)),
+                "semester": 1 + (uniform("semester") * 2).cast("int"),
+                "avg_score": clamp(F.round(65 + 15 * normal, 2), 30.0, 95.0),
+                "failed_subjects": pick("failed", (0, 0.6), (1, 0.8), (2, 0.95), (3, 1.0)),
+                "total_days": F.lit(180),
+                "days_present": (60 + (uniform("days") * 120).cast("int")).cast("double"),
+                "attendance_trend": pick("trend", ("Improving", 0.3), ("Stable", 0.7), ("Declining", 1.0)),
+                "family_income_band": pick("income", ("Low", 0.4), ("Middle", 0.8), ("High", 1.0)),
+                "parental_education": pick("education", ("High School", 0.5), ("Graduate", 1.0)),
+                "access_to_internet": pick("internet", ("True", 0.7), ("False", 1.0)),
+                "working_part_time": pick("job", ("True", 0.25), ("False", 1.0)),
+                "scholarship_status": pick("scholarship", ("True", 0.3), ("False", 1.0)),
+            }
+        )
+        .withColumns(
+            {
+                "improvement_flag": F.col("avg_score") > 60,
+                "performance_band": right_closed_band(F.col("avg_score"), [0, 50, 70, 100], ["Low", "Medium", "High"]),
+                "attendance_pct": percentage(F.col("days_present"), F.col("total_days")),
+            }
+        )
+        .withColumn("chronic_absentee", F.col("attendance_pct") < 75)
+        .withColumn(
+            "dropout_flag",
+            factor_count(
+                [
+                    F.col("avg_score") < 50,
+                    F.col("attendance_pct") < 75,
+                    F.col("family_income_band") == "Low",
+                    F.col("working_part_time") == "True",
+                ]
+            )
+            >= 3,
+        )
+        .withColumns(
+            {
+                "dropout_reason": F.when(F.col("dropout_flag"), "Low Attendance").otherwise("N/A"),
+                "intervention_required": F.col("dropout_flag"),
+                "retention_status": F.when(F.col("dropout_flag"), "Dropped").otherwise("Retained"),
+            }
+        )
+    )
+    return {name: everything.select(*[c.strip().split()[0] for c in raw.schema.split(",")]) for name, raw in RAW_FILES.items()}
+
+
+# Share of rows and wrong value per column.
+ERRORS = [
+    ("students", "region", 0.08, lambda: F.lower("region")),
+    ("students", "gender", 0.03, lambda: F.lit(None)),
+    ("students", "grade_level", 0.02, lambda: F.lit(15)),
+    ("academic", "avg_score", 0.05, lambda: F.lit(None)),
+    ("academic", "avg_score", 0.01, lambda: F.lit(-10)),
+    ("academic", "failed_subjects", 0.02, lambda: F.lit(6)),
+    ("attendance", "days_present", 0.03, lambda: F.lit(200)),
+    ("attendance", "days_present", 0.04, lambda: F.lit(None)),
+    ("attendance", "attendance_pct", 0.05, lambda: F.lit(150)),
+    ("socio", "family_income_band", 0.06, lambda: F.lit(None)),
+    ("socio", "access_to_internet", 0.08, lambda: F.lit("Yes")),
+    ("socio", "parental_education", 0.04, lambda: F.lit("Unknown Level")),
+    ("retention", "dropout_flag", 0.02, lambda: F.lit(None)),
+    ("retention", "retention_status", 0.01, lambda: F.lit("Retained")),
+    ("retention", "dropout_reason", 0.03, lambda: F.lit(None)),
+]
+
+
+def with_errors(tables):
+    dirty = dict(tables)
+    for seed, (name, column, share, value) in enumerate(ERRORS):
+        dirty[name] = inject_errors(dirty[name], column, share, value(), "student_id", seed)
+    return dirty
+
+
+def land(tables, folder):
+    for name, df in tables.items():
+        write_csv(df.coalesce(2), f"{folder}/{RAW_FILES[name].csv}")
+    return str(folder)
