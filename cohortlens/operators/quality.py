@@ -24,36 +24,56 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def _distinct_values(df: DataFrame) -> DataFrame:
+    """``(column_name, distinct_count)``: each column's values are counted map-side
+    first, so a frequent value crosses the shuffle once per task."""
+
+    def comparable(c: str) -> Column:
+        is_float = df.schema[c].dataType.typeName() in ("float", "double")
+        return (F.col(c) + F.lit(0.0) if is_float else F.col(c)).cast("string")  # -0.0 equals 0.0
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), comparable(c).alias("value")) for c in df.columns])
+    return (
+        df.select(F.inline(pairs))
+        .groupBy("column_name", "value")
+        .agg(F.lit(1))
+        .groupBy("column_name")
+        .agg(F.count("value").alias("distinct_count"))
+    )
+
+
 def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """Per column: rows, NULLs, distinct values, minimum and maximum (as text).
 
-    All columns are measured in one aggregation. Distinct counts are HyperLogLog
-    estimates unless asked exactly, because an exact count of every column sends
-    each distinct value through the shuffle.
+    Everything is measured in one aggregation, distinct values as a HyperLogLog
+    estimate. Exact distinct counts take a second pass whose shuffle carries
+    every distinct value of every column once.
     """
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     measures = [F.count("*").alias("rows")]
     for c in df.columns:
         measures += [
             (F.count("*") - F.count(c)).alias(f"{c}_nulls"),
-            distinct(c).alias(f"{c}_distinct"),
             F.min(c).cast("string").alias(f"{c}_min"),
             F.max(c).cast("string").alias(f"{c}_max"),
         ]
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col("rows"),
-                F.col(f"{c}_nulls").alias("null_count"),
-                F.col(f"{c}_distinct").alias("distinct_count"),
-                F.col(f"{c}_min").alias("min_value"),
-                F.col(f"{c}_max").alias("max_value"),
-            )
-            for c in df.columns
-        ]
-    )
-    return df.agg(*measures).select(F.inline(per_column))
+        if not exact_distinct:
+            measures.append(F.approx_count_distinct(c).alias(f"{c}_distinct"))
+
+    def described(c: str) -> Column:
+        distinct = [] if exact_distinct else [F.col(f"{c}_distinct").alias("distinct_count")]
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("rows"),
+            F.col(f"{c}_nulls").alias("null_count"),
+            *distinct,
+            F.col(f"{c}_min").alias("min_value"),
+            F.col(f"{c}_max").alias("max_value"),
+        )
+
+    per_column = df.agg(*measures).select(F.inline(F.array(*[described(c) for c in df.columns])))
+    if exact_distinct:
+        per_column = per_column.join(_distinct_values(df), "column_name", "left").na.fill(0, ["distinct_count"])
+    return per_column.select("column_name", "rows", "null_count", "distinct_count", "min_value", "max_value")
 
 
 def key_check(df: DataFrame, key: str) -> DataFrame:

@@ -22,7 +22,7 @@ from cohortlens.session import shared_folder
 from cohortlens.sources.audit import newest_first
 from cohortlens.sources.files import manifest, read_csv, stamp, write_csv
 from cohortlens.sources.orders_cohort import OrdersCohort, read_table
-from cohortlens.sources.tables import create_database, save_table
+from cohortlens.sources.tables import create_database, save_table, written
 
 RULES = Rules()
 
@@ -279,7 +279,7 @@ def ml_hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = model.split(model.features(_profile(spark, sf)))
+    train, test = model.split(written(model.features(_profile(spark, sf))))
     return model.score(model.fit(model.assemble(train)), test)
 
 
@@ -294,9 +294,8 @@ def ml_scored_students(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ml_auc_rank(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _profile(spark, sf).select(
-        F.col("risk_score").cast("double"), F.when(F.col("retention_risk_flag"), 1.0).otherwise(0.0).alias("label")
-    )
+    label = F.when(F.col("retention_risk_flag"), 1.0).otherwise(0.0).alias("label")
+    scored = written(_profile(spark, sf).select(F.col("risk_score").cast("double"), label))
     return spark.range(1).select(F.lit(round(model.auc(scored, "risk_score"), 6)).alias("auc"))
 
 
@@ -304,7 +303,7 @@ def ml_auc_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pred_with_risk_topk(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _profile(spark, sf)
+    profile = written(_profile(spark, sf))
     return alerts.predictions_with_risk(_predictions(profile), profile, RULES.walkthrough_top_k)
 
 
@@ -330,22 +329,22 @@ def alert_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_driver_counts(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _profile(spark, sf)
+    profile = written(_profile(spark, sf))
     return alerts.driver_counts(_alerts(profile), profile)
 
 
 def alert_grade_counts(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _profile(spark, sf)
+    profile = written(_profile(spark, sf))
     return alerts.grade_counts(_alerts(profile), profile)
 
 
 def alert_breakdown_sets(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _profile(spark, sf)
+    profile = written(_profile(spark, sf))
     return alerts.driver_and_grade_counts(_alerts(profile), profile)
 
 
 def alert_digest(spark: SparkSession, sf: str) -> DataFrame:
-    profile = _profile(spark, sf)
+    profile = written(_profile(spark, sf))
     return alerts.digest(_alerts(profile), profile, RULES.alert_top_k)
 
 

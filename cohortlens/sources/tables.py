@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.session import shared_folder
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -25,3 +27,14 @@ def save_table(
     observed = df.observe(seen, F.count("*").alias("n"))
     observed.write.format(fmt).mode(mode).options(**dict(options or {})).saveAsTable(name)
     return seen.get["n"]
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result that is used several times: its joins run once, later uses read
+    only the columns they need, and a lost executor costs a re-read.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
