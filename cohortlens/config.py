@@ -76,7 +76,7 @@ class PipelineConfig:
     infer_schema: bool = False
     rules: Rules = Rules()
 
-    # Keys with at least this many rows are split over several tasks in joins.
+    # Keys with about this many rows or more are split over several tasks in joins.
     hot_key_rows: int = 1_000_000
     # "multiply": repeated satellite keys multiply rows, as an SQL join does.
     # "fail": stop before the join and name the table.

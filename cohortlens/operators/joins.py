@@ -4,23 +4,28 @@
 exchanged at most once, the chain reuses the partitioning, and AQE turns small
 sides into broadcasts and splits skewed left sides.
 
-``salted_star_join`` gives the same rows when a key repeats so often that one
-task could not hold it. Only keys measured as hot are split; they are found by a
-count per key that is combined map-side before its shuffle.
+``split_star_join`` gives the same rows when some keys repeat so often that one
+task could not hold them. Rows of hot keys are dealt over many tasks; all other
+rows take the plain join. ``hot_keys`` finds the hot keys. Which keys it finds
+changes only how the work is cut, never the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot only if it also holds at least 1/100,000 of its table, so a table
-# has at most 100,000 hot keys: this bounds what gets broadcast.
-MAX_HOT_KEYS = 100_000
+# Fixed by design, so that what gets broadcast cannot grow with the data: at most
+# this many hot keys per table.
+MAX_HOT_KEYS = 1_000
+# Size of the frequent-items sketch: a key above about 0.05 % of the rows is found.
+SKETCH_ITEMS = 10_000
+# Sketches of the scan tasks are merged in this many groups before the last merge.
+SKETCH_GROUPS = 512
 # NULL keys match nothing and need no partner, so they are simply spread.
 NULL_KEY_SPREAD = 1024
 
@@ -32,66 +37,72 @@ def star_join(spine: DataFrame, satellites: Iterable[DataFrame], key: str, how:
     return joined
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows and how many parts to split each into."""
-    total = df.select(F.count("*")).scalar()
+def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with about ``hot_rows`` rows or more and how many parts to split each into.
+
+    One pass over the key column with a frequent-items sketch: no key is shuffled.
+    """
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .where((F.col("n") >= hot_rows) & (F.col("n") * MAX_HOT_KEYS >= total))
-        .select(key, F.ceil(F.col("n") / hot_rows).alias("parts"))
+        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .agg(F.expr(f"approx_top_k_accumulate({key}, {SKETCH_ITEMS})").alias("sketch"))
+        .groupBy(F.lit("all"))  # no group, and nothing to merge, for an empty table
+        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+        .select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")))
+        .where((F.col("count") >= hot_rows) & F.col("item").isNotNull())
+        .select(F.col("item").alias(key), F.ceil(F.col("count") / hot_rows).alias("parts"))
     )
 
 
-def _parts_per_table(tables: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
-    """One row per key that is hot anywhere; ``_p<i>`` is its number of parts in table i."""
-    per_table = [hot_keys(df, key, hot_rows).withColumn("i", F.lit(i)) for i, df in enumerate(tables)]
-    parts = [
-        F.coalesce(F.max(F.when(F.col("i") == i, F.col("parts"))), F.lit(1)).alias(f"_p{i}")
-        for i in range(len(tables))
-    ]
+def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = 1_000_000) -> DataFrame:
+    """One row per key that is hot in any table; column per table: its number of parts there."""
+    per_table = [frequent_keys(df, key, hot_rows).withColumn("t", F.lit(name)) for name, df in tables.items()]
+    parts = [F.coalesce(F.max(F.when(F.col("t") == t, F.col("parts"))), F.lit(1)).alias(t) for t in tables]
     return reduce(DataFrame.unionByName, per_table).groupBy(key).agg(*parts)
 
 
-def salted_star_join(
-    spine: DataFrame, satellites: Iterable[DataFrame], key: str, how: str = "left", hot_rows: int = 1_000_000
-) -> DataFrame:
-    """The rows of ``star_join``, with hot keys split on either side of each join.
+def split_star_join(tables: Mapping[str, DataFrame], key: str, how: str, hot: DataFrame) -> DataFrame:
+    """``star_join`` of the first table with the others, hot keys split on either side.
+
+    ``hot`` comes from ``hot_keys`` over (at least) these tables.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type: {how}")
+    hot = F.broadcast(hot.select(key, *[F.col(t).alias(f"_parts_{t}") for t in tables]))
+    cold = [df.where(F.col(key).isNotNull()).join(hot, key, "left_anti") for df in tables.values()]
+    return star_join(cold[0], cold[1:], key, how).unionByName(_dealt_star_join(tables, key, how, hot))
+
+
+def _dealt_star_join(tables: Mapping[str, DataFrame], key: str, how: str, hot: DataFrame) -> DataFrame:
+    """The join's rows for hot and NULL keys.
 
     In each join a key hot on the left has its left rows dealt over parts ``_l``
     and its right rows copied to every part; a key hot on the right the other way
-    round over ``_r``. Each matching pair still meets exactly once. All other
-    keys have one part.
+    round over ``_r``. Each matching pair meets exactly once.
 
     The part of a row is a hash of its values and of its input partition: equal
     rows from different splits get different parts, and a re-run task gives the
     same parts whatever order its rows arrive in.
-
-    Hot keys are counted on the inputs, never on a join's result. A key split
-    into parts by one join stays that hot on the left of the next.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type: {how}")
-    satellites = list(satellites)
-    parts = [f"_p{i}" for i in range(len(satellites) + 1)]
-    hot = F.broadcast(_parts_per_table([spine, *satellites], key, hot_rows))
+    parts = [f"_parts_{t}" for t in tables]
 
-    def tagged(df: DataFrame, spread: str) -> DataFrame:
+    def tagged(df: DataFrame, spread: str, join: str) -> DataFrame:
         hashed = F.xxhash64(F.spark_partition_id(), *df.columns)
-        return df.withColumn(spread, hashed).join(hot, key, "left").na.fill(1, parts)
+        return df.withColumn(spread, hashed).join(hot, key, join)
 
     def every(n: Column) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
 
-    joined = tagged(spine, "_spread")
+    spine, *satellites = tables.values()
+    joined = tagged(spine, "_spread", "left").where(F.col(key).isNull() | F.col(parts[0]).isNotNull())
+    joined = joined.na.fill(1, parts)
     for i, satellite in enumerate(satellites, 1):
+        # A key split into parts by one join stays that hot on the left of the next.
         left_parts = reduce(mul, [F.col(p) for p in parts[:i]])
         right_parts = F.col(parts[i])
         left_part = F.pmod("_spread", F.when(F.col(key).isNull(), NULL_KEY_SPREAD).otherwise(left_parts))
         dealt_left = joined.withColumn("_l", left_part).withColumn("_r", every(right_parts))
         dealt_right = (
-            tagged(satellite.where(F.col(key).isNotNull()), "_hit")
+            tagged(satellite, "_hit", "inner")
             .withColumn("_r", F.pmod("_hit", right_parts))
             .withColumn("_l", every(left_parts))
             .drop(*parts)
@@ -103,10 +114,3 @@ def salted_star_join(
             joined = joined.where(F.col("_hit").isNotNull() | (right_parts == 1))
         joined = joined.withColumn("_spread", F.xxhash64("_spread", "_hit")).drop("_l", "_r", "_hit")
     return joined.drop("_spread", *parts)
-
-
-def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_rows: int = 1_000_000
-) -> DataFrame:
-    """Two-table form of ``salted_star_join``."""
-    return salted_star_join(left, [right], key, how, hot_rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.config import Rules
 from cohortlens.functions.cleaning import is_true
 from cohortlens.functions.scoring import band_below, last_label, score_level, weighted_points
-from cohortlens.operators.joins import salted_star_join, star_join
+from cohortlens.operators.joins import split_star_join, star_join
 from cohortlens.operators.rates import counts_by, rate
 
 KEY = "student_id"
@@ -19,25 +19,24 @@ SOCIO_COLUMNS = [KEY, "socio_economic_risk_flag"]
 RETENTION_COLUMNS = [KEY, "retention_status", "retention_risk_flag"]
 
 
-def _join(spine: DataFrame, satellites: list[DataFrame], how: str, hot_key_rows: int | None) -> DataFrame:
-    if hot_key_rows is None:
+def _join(tables: dict[str, DataFrame], how: str, hot: DataFrame | None) -> DataFrame:
+    """First table with the others; ``hot`` (from ``hot_keys``) splits its keys over tasks."""
+    if hot is None:
+        spine, *satellites = tables.values()
         return star_join(spine, satellites, KEY, how)
-    return salted_star_join(spine, satellites, KEY, how, hot_key_rows)
+    return split_star_join(tables, KEY, how, hot)
 
 
-def joined_flags(silver: dict[str, DataFrame], hot_key_rows: int | None = None) -> DataFrame:
+def joined_flags(silver: dict[str, DataFrame], hot: DataFrame | None = None) -> DataFrame:
     """Every student with the measures and flags of the four other tables."""
-    return _join(
-        silver["students"].select(*STUDENT_COLUMNS),
-        [
-            silver["academic"].select(*ACADEMIC_COLUMNS),
-            silver["attendance"].select(*ATTENDANCE_COLUMNS),
-            silver["socio"].select(*SOCIO_COLUMNS),
-            silver["retention"].select(*RETENTION_COLUMNS),
-        ],
-        "left",
-        hot_key_rows,
-    )
+    tables = {
+        "students": silver["students"].select(*STUDENT_COLUMNS),
+        "academic": silver["academic"].select(*ACADEMIC_COLUMNS),
+        "attendance": silver["attendance"].select(*ATTENDANCE_COLUMNS),
+        "socio": silver["socio"].select(*SOCIO_COLUMNS),
+        "retention": silver["retention"].select(*RETENTION_COLUMNS),
+    }
+    return _join(tables, "left", hot)
 
 
 def with_risk(flags: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -53,26 +52,25 @@ def with_risk(flags: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def student_risk_profile(
-    silver: dict[str, DataFrame], rules: Rules = Rules(), hot_key_rows: int | None = None
+    silver: dict[str, DataFrame], rules: Rules = Rules(), hot: DataFrame | None = None
 ) -> DataFrame:
-    flags = joined_flags(silver, hot_key_rows)
+    flags = joined_flags(silver, hot)
     added = ["risk_score", "risk_level", "primary_risk_driver", "intervention_required"]
     return with_risk(flags, rules).select(*flags.columns, *added)
 
 
 def attendance_vs_performance(
-    silver: dict[str, DataFrame], rules: Rules = Rules(), hot_key_rows: int | None = None
+    silver: dict[str, DataFrame], rules: Rules = Rules(), hot: DataFrame | None = None
 ) -> DataFrame:
-    joined = _join(
-        silver["students"].select(*STUDENT_COLUMNS),
-        [silver["attendance"].select(*ATTENDANCE_COLUMNS), silver["academic"].select(*ACADEMIC_COLUMNS)],
-        "inner",
-        hot_key_rows,
-    )
+    tables = {
+        "students": silver["students"].select(*STUDENT_COLUMNS),
+        "attendance": silver["attendance"].select(*ATTENDANCE_COLUMNS),
+        "academic": silver["academic"].select(*ACADEMIC_COLUMNS),
+    }
     weak = F.col("attendance_band").isin(*rules.weak_attendance_bands) & (
         F.col("performance_band") == rules.weak_performance_band
     )
-    return joined.withColumns(
+    return _join(tables, "inner", hot).withColumns(
         {
             "attendance_band": band_below(F.col("attendance_pct"), rules.attendance_bands, rules.top_band),
             "performance_band": band_below(F.col("performance_score"), rules.performance_bands, rules.top_band),
@@ -80,24 +78,23 @@ def attendance_vs_performance(
     ).withColumn("combined_risk_flag", is_true(weak))
 
 
-def dropout_trends(silver: dict[str, DataFrame], rules: Rules = Rules(), hot_key_rows: int | None = None) -> DataFrame:
-    joined = _join(
-        silver["students"].select(KEY, "region", "grade_level"),
-        [silver["retention"].select(KEY, "retention_status")],
-        "inner",
-        hot_key_rows,
-    )
+def dropout_trends(silver: dict[str, DataFrame], rules: Rules = Rules(), hot: DataFrame | None = None) -> DataFrame:
+    tables = {
+        "students": silver["students"].select(KEY, "region", "grade_level"),
+        "retention": silver["retention"].select(KEY, "retention_status"),
+    }
+    joined = _join(tables, "inner", hot)
     dropped = {"dropped_students": F.col("retention_status") == rules.dropped}
     counts = counts_by(joined, ["region", "grade_level"], "total_students", dropped)
     return counts.withColumn("dropout_rate", rate("dropped_students", "total_students"))
 
 
-def intervention_candidates(profile: DataFrame, retention: DataFrame, hot_key_rows: int | None = None) -> DataFrame:
+def intervention_candidates(profile: DataFrame, retention: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Students who need intervention, including those already dropped."""
     chosen = profile.where("intervention_required").select(
         KEY, "grade_level", "region", "risk_score", "risk_level", "primary_risk_driver", "intervention_required"
     )
-    return _join(chosen, [retention.select(KEY, "retention_status")], "inner", hot_key_rows)
+    return _join({"students": chosen, "retention": retention.select(KEY, "retention_status")}, "inner", hot)
 
 
 def retention_overview(retention: DataFrame, rules: Rules = Rules()) -> DataFrame:

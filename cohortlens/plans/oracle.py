@@ -317,7 +317,7 @@ FROM (
   FROM raw_academic)"""
     ),
     "join_left_star": _gold("SELECT * FROM flags"),
-    "join_left_star_salted": _gold("SELECT * FROM flags"),
+    "join_left_star_split": _gold("SELECT * FROM flags"),
     "join_hot_keys": "SELECT c_custkey AS k, c_mktsegment, o_orderkey, o_orderstatus "
     "FROM customer LEFT JOIN orders ON o_custkey = c_custkey",
     "gold_risk_score": _gold("SELECT student_id, risk_score, risk_level, intervention_required FROM profile"),

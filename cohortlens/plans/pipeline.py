@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import PipelineConfig
-from cohortlens.operators import alerts, model, quality
+from cohortlens.operators import alerts, joins, model, quality
 from cohortlens.plans import gold, silver
 from cohortlens.schemas import RAW_FILES
 from cohortlens.sources import audit
 from cohortlens.sources.files import read_csv, stamp
-from cohortlens.sources.tables import create_database, save_table
+from cohortlens.sources.tables import create_database, save_table, written
 
 AUDIT_TABLE = "pipeline_audit_log"
 
@@ -72,22 +72,19 @@ class Pipeline:
     def silver_tables(self) -> dict[str, DataFrame]:
         return {entity: self.read(raw.silver) for entity, raw in RAW_FILES.items()}
 
-    def hottest_key(self) -> int:
-        """Rows of the most repeated key over the silver tables: one number per table.
-
-        NULL keys count too, because they would all go to one join task.
-        """
-        hottest = 0
+    def require_unique_keys(self) -> None:
         for entity, df in self.silver_tables().items():
-            check = quality.key_check(df, gold.KEY).first()
-            if check["repeated_keys"] and self.cfg.on_repeated_key == "fail":
-                raise quality.RepeatedKeyError(f"{RAW_FILES[entity].silver}: {check['repeated_keys']} repeated keys")
-            hottest = max(hottest, check["max_rows_per_key"])
-        return hottest
+            quality.assert_unique_key(df, gold.KEY, RAW_FILES[entity].silver)
+
+    def hot_keys(self) -> DataFrame | None:
+        """Keys to split in the joins, measured once for all gold tables; None if there are none."""
+        found = written(joins.hot_keys(self.silver_tables(), gold.KEY, self.cfg.hot_key_rows))
+        return None if found.isEmpty() else found
 
     def gold(self) -> dict[str, int]:
-        tables, rules = self.silver_tables(), self.cfg.rules
-        hot = self.cfg.hot_key_rows if self.hottest_key() >= self.cfg.hot_key_rows else None
+        if self.cfg.on_repeated_key == "fail":
+            self.require_unique_keys()
+        tables, rules, hot = self.silver_tables(), self.cfg.rules, self.hot_keys()
         return self.write_layer(
             "gold",
             {

@@ -207,16 +207,19 @@ def join_left_star(spark: SparkSession, sf: str) -> DataFrame:
     return gold.joined_flags(_silver(spark, sf))
 
 
-def join_left_star_salted(spark: SparkSession, sf: str) -> DataFrame:
-    """The star join on its path for hot keys. One row makes a key hot here."""
-    return gold.joined_flags(_silver(spark, sf), hot_key_rows=1)
+def join_left_star_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The star join with keys split over tasks. One row makes a key hot here."""
+    tables = _silver(spark, sf)
+    return gold.joined_flags(tables, written(joins.hot_keys(tables, "student_id", hot_rows=1)))
 
 
 def join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with their orders, busy customers' orders dealt over several tasks."""
-    customers = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
-    orders = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus")
-    return joins.salted_join(customers, orders, "k", "left", hot_rows=4)
+    tables = {
+        "customers": read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment"),
+        "orders": read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus"),
+    }
+    return joins.split_star_join(tables, "k", "left", joins.hot_keys(tables, "k", hot_rows=4))
 
 
 def gold_risk_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -400,7 +403,7 @@ QUERIES: dict[str, Query] = {
         label_factor_count,
         score_clip_band,
         join_left_star,
-        join_left_star_salted,
+        join_left_star_split,
         join_hot_keys,
         gold_risk_score,
         gold_primary_driver,

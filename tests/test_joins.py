@@ -5,13 +5,18 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.operators.joins import hot_keys, salted_join, salted_star_join, star_join
+from cohortlens.operators.joins import MAX_HOT_KEYS, frequent_keys, hot_keys, split_star_join, star_join
 
 
 def rows(df):
     return Counter(tuple(r) for r in df.collect())
 
 
+def split(tables, how, hot_rows):
+    named = {f"t{i}": df for i, df in enumerate(tables)}
+    return split_star_join(named, "k", how, hot_keys(named, "k", hot_rows))
+
+
 @pytest.fixture(scope="module")
 def frames(spark):
     """Keys hot on the left, on the right, on both, on none, absent, and NULL."""
@@ -32,14 +37,14 @@ def frames(spark):
 def test_same_rows_as_plain_join(spark, frames, how, hot_rows):
     left, right, other = frames
     plain = star_join(left, [right, other], "k", how)
-    salted = salted_star_join(left, [right, other], "k", how, hot_rows)
+    salted = split([left, right, other], how, hot_rows)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
 
 def test_swapped_sides(spark, frames):
     left, right, _ = frames
-    assert rows(salted_join(right, left, "k", "left", 5)) == rows(right.join(left, "k", "left"))
+    assert rows(split([right, left], "left", 5)) == rows(right.join(left, "k", "left"))
 
 
 def test_equal_copies_are_spread(spark):
@@ -51,24 +56,33 @@ def test_equal_copies_are_spread(spark):
 
 
 def test_hot_keys_counts_parts(spark, frames):
-    assert {r["k"]: r["parts"] for r in hot_keys(frames[0], "k", 10).collect()} == {"a": 6, "both": 2}
+    left, right, _ = frames
+    assert {r["k"]: r["parts"] for r in frequent_keys(left, "k", 10).collect()} == {"a": 6, "both": 2}
+    both = hot_keys({"l": left, "r": right}, "k", 10).collect()
+    assert {tuple(r) for r in both} == {("a", 6, 1), ("b", 1, 7), ("both", 2, 2)}
+
+
+def test_hot_key_is_found_among_many_and_their_number_is_bounded(spark):
+    df = spark.range(0, 300_000, 1, 16).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in frequent_keys(df, "k", 50_000).collect()] == [(-1, 2)]
+    assert frequent_keys(df, "k", 1).count() <= MAX_HOT_KEYS
 
 
 def test_empty_sides(spark, frames):
     left, right, _ = frames
     none = right.where("r < -1")
-    assert rows(salted_join(left, none, "k", "left", 2)) == rows(left.join(none, "k", "left"))
-    assert salted_join(none, left, "k", "left", 2).count() == 0
+    assert rows(split([left, none], "left", 2)) == rows(left.join(none, "k", "left"))
+    assert split([none, left], "left", 2).count() == 0
 
 
 def test_unsupported_type(frames):
     with pytest.raises(ValueError):
-        salted_join(frames[0], frames[1], "k", "full")
+        split(frames[:2], "full", 2)
 
 
 def test_plan_has_no_product_and_no_python(frames):
     left, right, other = frames
-    for df in (star_join(left, [right, other], "k"), salted_star_join(left, [right, other], "k", hot_rows=5)):
+    for df in (star_join(left, [right, other], "k"), split([left, right, other], "left", 5)):
         plan = df._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan
         assert "BroadcastNestedLoopJoin" not in plan

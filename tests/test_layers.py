@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.config import Rules
+from cohortlens.operators.joins import hot_keys
 from cohortlens.plans import gold, silver
 from cohortlens.schemas import ACADEMIC, ATTENDANCE, RETENTION, SOCIO, STUDENTS
 
@@ -162,17 +163,18 @@ def small_silver(spark):
     }
 
 
-@pytest.mark.parametrize("hot", [None, 1])
-def test_gold_tables(small_silver, hot):
-    profile = gold.student_risk_profile(small_silver, hot_key_rows=hot)
+@pytest.mark.parametrize("split", [False, True])
+def test_gold_tables(small_silver, split):
+    hot = hot_keys(small_silver, "student_id", 1) if split else None
+    profile = gold.student_risk_profile(small_silver, hot=hot)
     columns = ["attendance_pct", "risk_score", "risk_level", "primary_risk_driver", "intervention_required"]
     assert by_id(profile, *columns) == {
         "S1": (70.0, 70, "HIGH", "ATTENDANCE", True),
         "S2": (None, 0, "LOW", None, False),
     }
-    bands = gold.attendance_vs_performance(small_silver, hot_key_rows=hot)
+    bands = gold.attendance_vs_performance(small_silver, hot=hot)
     assert by_id(bands, "attendance_band", "performance_band", "combined_risk_flag") == {"S1": ("LOW", "LOW", True)}
-    trends = [tuple(r) for r in gold.dropout_trends(small_silver, hot_key_rows=hot).collect()]
+    trends = [tuple(r) for r in gold.dropout_trends(small_silver, hot=hot).collect()]
     assert trends == [("NORTH", 7, 1, 1, 1.0)]
     candidates = gold.intervention_candidates(profile, small_silver["retention"], hot)
     assert by_id(candidates, "retention_status") == {"S1": ("DROPPED",)}
@@ -195,4 +197,4 @@ def test_repeated_satellite_key_multiplies_like_a_join(small_silver):
     doubled = dict(small_silver)
     doubled["socio"] = small_silver["socio"].union(small_silver["socio"])
     assert gold.student_risk_profile(doubled).where("student_id = 'S1'").count() == 2
-    assert gold.student_risk_profile(doubled, hot_key_rows=1).where("student_id = 'S1'").count() == 2
+    assert gold.student_risk_profile(doubled, hot=hot_keys(doubled, "student_id", 1)).where("student_id = 'S1'").count() == 2

@@ -149,16 +149,17 @@ def test_hot_and_repeated_keys(spark, tmp_path):
     run = Pipeline(spark, cfg)
     run.bronze(folder)
     run.silver()
-    assert run.hottest_key() == 151
+    assert [tuple(r)[:2] for r in run.hot_keys().collect()] == [("S100007", 8)]
     written = run.gold()
     assert written["gold_student_risk_profile"] == 450
     plain = Pipeline(spark, PipelineConfig(database="hot_run"))
+    assert plain.hot_keys() is None
     kept = spark.table("hot_run.gold_student_risk_profile").persist()
     kept.count()
     assert plain.gold() == written
     again = spark.table("hot_run.gold_student_risk_profile")
     assert kept.exceptAll(again).isEmpty() and again.exceptAll(kept).isEmpty()
-    with pytest.raises(RepeatedKeyError, match="silver_students: 1 repeated"):
+    with pytest.raises(RepeatedKeyError, match="silver_students: 1 values of student_id"):
         Pipeline(spark, PipelineConfig(database="hot_run", on_repeated_key="fail")).gold()
 
 
