@@ -78,6 +78,9 @@ class PipelineConfig:
 
     # Keys with about this many rows or more are split over several tasks in joins.
     hot_key_rows: int = 1_000_000
+    # Silver tables are written in this many buckets by key, unless a key is hot.
+    # The four gold joins then need no exchange. Needs a format with buckets.
+    silver_buckets: int | None = None
     # "multiply": repeated satellite keys multiply rows, as an SQL join does.
     # "fail": stop before the join and name the table.
     on_repeated_key: str = "multiply"

@@ -37,30 +37,38 @@ def top_k(alerts: DataFrame, k: int = 5) -> DataFrame:
 
 
 def predictions_with_risk(predictions: DataFrame, profile: DataFrame, k: int = 20) -> DataFrame:
-    """The k most at-risk students with their risk level."""
-    joined = predictions.select("student_id", "dropout_probability").join(
-        profile.select("student_id", "risk_level", "intervention_required"), "student_id"
+    """The k most at-risk students with their risk level.
+
+    Only predictions that have a profile can be in the answer, and only the top k
+    of those, so k rows are joined instead of all.
+    """
+    risk = profile.select("student_id", "risk_level", "intervention_required")
+    known = predictions.select("student_id", "dropout_probability").join(risk, "student_id", "left_semi")
+    return by_probability(risk.join(F.broadcast(by_probability(known).limit(k)), "student_id")).limit(k).select(
+        "student_id", "dropout_probability", "risk_level", "intervention_required"
     )
-    return by_probability(joined).limit(k)
 
 
 def with_risk(alerts: DataFrame, profile: DataFrame) -> DataFrame:
-    return alerts.select("student_id").join(
-        profile.select("student_id", "primary_risk_driver", "grade_level"), "student_id"
-    )
+    """Driver and grade of each alert's student; ``alerts`` says for how many alerts a row stands.
+
+    Counting a student's alerts before the join keeps repeated ids from pairing up.
+    """
+    per_student = alerts.groupBy("student_id").agg(F.count("*").alias("alerts"))
+    return profile.select("student_id", "primary_risk_driver", "grade_level").join(per_student, "student_id")
 
 
 def driver_counts(alerts: DataFrame, profile: DataFrame) -> DataFrame:
-    return group_count(with_risk(alerts, profile), "primary_risk_driver")
+    return group_count(with_risk(alerts, profile), "primary_risk_driver", "alerts")
 
 
 def grade_counts(alerts: DataFrame, profile: DataFrame) -> DataFrame:
-    return group_count(with_risk(alerts, profile), "grade_level")
+    return group_count(with_risk(alerts, profile), "grade_level", "alerts")
 
 
 def driver_and_grade_counts(alerts: DataFrame, profile: DataFrame) -> DataFrame:
     """Both breakdowns from one join and one scan."""
-    return breakdown(with_risk(alerts, profile), ["primary_risk_driver", "grade_level"])
+    return breakdown(with_risk(alerts, profile), ["primary_risk_driver", "grade_level"], "alerts")
 
 
 def digest(alerts: DataFrame, profile: DataFrame, k: int = 5, advice: Sequence[str] = ADVICE) -> DataFrame:

@@ -27,12 +27,16 @@ def global_mean(df: DataFrame, column: str, valid: Column | None = None) -> Colu
     return df.select(F.avg(value)).scalar()
 
 
-def group_count(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, most frequent first, ties by value. NULL is a group of its own."""
-    return df.groupBy(column).count().orderBy(F.desc("count"), F.asc_nulls_first(column))
+def group_count(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
+    """Rows per value, most frequent first, ties by value. NULL is a group of its own.
+
+    With a ``weight`` column a row counts that many times.
+    """
+    counted = df.groupBy(column).agg(_counted(weight).alias("count"))
+    return counted.orderBy(F.desc("count"), F.asc_nulls_first(column))
 
 
-def breakdown(df: DataFrame, columns: list[str]) -> DataFrame:
+def breakdown(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
     """Rows per value of each column in one scan: ``(dimension, value, count)``.
 
     One GROUPING SETS aggregation instead of a scan per column. ``grouping``
@@ -40,6 +44,12 @@ def breakdown(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     dimension = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in columns])
     value = F.coalesce(*[F.when(F.grouping(c) == 0, F.col(c).cast("string")) for c in columns])
-    return df.groupingSets([[c] for c in columns], *columns).agg(
-        dimension.alias("dimension"), value.alias("value"), F.count("*").alias("count")
-    ).select("dimension", "value", "count")
+    return (
+        df.groupingSets([[c] for c in columns], *columns)
+        .agg(dimension.alias("dimension"), value.alias("value"), _counted(weight).alias("count"))
+        .select("dimension", "value", "count")
+    )
+
+
+def _counted(weight: str | None) -> Column:
+    return F.count("*") if weight is None else F.sum(weight)

@@ -36,17 +36,19 @@ class Pipeline:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.cfg.table(name))
 
-    def _save(self, df: DataFrame, name: str) -> int:
+    def _save(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None) -> int:
         return save_table(
-            df, self.cfg.table(name), fmt=self.cfg.table_format, options=self.cfg.write_options
+            df, self.cfg.table(name), fmt=self.cfg.table_format, options=self.cfg.write_options, buckets=buckets
         )
 
-    def write_layer(self, layer: str, tables: Mapping[str, Callable[[], DataFrame]]) -> dict[str, int]:
+    def write_layer(
+        self, layer: str, tables: Mapping[str, Callable[[], DataFrame]], buckets: tuple[int, str] | None = None
+    ) -> dict[str, int]:
         """Writes the tables in order and audits each, a failed plan or write included."""
         rows, first_error = [], None
         for name, build in tables.items():
             row, error = audit.audited(
-                self.cfg.pipeline_name, layer, name, lambda b=build, n=name: self._save(b(), n)
+                self.cfg.pipeline_name, layer, name, lambda b=build, n=name: self._save(b(), n, buckets)
             )
             rows.append(row)
             first_error = first_error or error
@@ -67,7 +69,10 @@ class Pipeline:
         def clean(entity: str) -> DataFrame:
             return silver.TRANSFORMS[entity](self.read(RAW_FILES[entity].bronze), self.cfg.rules)
 
-        return self.write_layer("silver", {r.silver: lambda e=e: clean(e) for e, r in RAW_FILES.items()})
+        buckets = None
+        if self.cfg.silver_buckets and self.hot_keys({e: clean(e) for e in RAW_FILES}) is None:
+            buckets = (self.cfg.silver_buckets, gold.KEY)
+        return self.write_layer("silver", {r.silver: lambda e=e: clean(e) for e, r in RAW_FILES.items()}, buckets)
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {entity: self.read(raw.silver) for entity, raw in RAW_FILES.items()}
@@ -76,15 +81,16 @@ class Pipeline:
         for entity, df in self.silver_tables().items():
             quality.assert_unique_key(df, gold.KEY, RAW_FILES[entity].silver)
 
-    def hot_keys(self) -> DataFrame | None:
+    def hot_keys(self, tables: Mapping[str, DataFrame]) -> DataFrame | None:
         """Keys to split in the joins, measured once for all gold tables; None if there are none."""
-        found = written(joins.hot_keys(self.silver_tables(), gold.KEY, self.cfg.hot_key_rows))
+        found = written(joins.hot_keys(tables, gold.KEY, self.cfg.hot_key_rows))
         return None if found.isEmpty() else found
 
     def gold(self) -> dict[str, int]:
         if self.cfg.on_repeated_key == "fail":
             self.require_unique_keys()
-        tables, rules, hot = self.silver_tables(), self.cfg.rules, self.hot_keys()
+        tables, rules = self.silver_tables(), self.cfg.rules
+        hot = self.hot_keys(tables)
         return self.write_layer(
             "gold",
             {

@@ -16,16 +16,28 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def save_table(
-    df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", options: Mapping[str, str] | None = None
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    buckets: tuple[int, str] | None = None,
 ) -> int:
     """Writes a catalog table and returns the number of rows written.
 
     The count is observed by the write itself, in its last stage, where Spark
     counts each finished task once. The table is not scanned again.
+
+    ``buckets`` (number, key) exchanges the rows once here, one task per bucket,
+    so that later joins on the key need no exchange.
     """
     seen = Observation()
-    observed = df.observe(seen, F.count("*").alias("n"))
-    observed.write.format(fmt).mode(mode).options(**dict(options or {})).saveAsTable(name)
+    if buckets:
+        df = df.repartition(*buckets)
+    writer = df.observe(seen, F.count("*").alias("n")).write.format(fmt).mode(mode).options(**dict(options or {}))
+    if buckets:
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
+    writer.saveAsTable(name)
     return seen.get["n"]
 
 

@@ -183,6 +183,17 @@ def test_counts_are_ordered(scored):
     assert [tuple(r) for r in alerts.grade_counts(high, profile).collect()] == [(10, 2), (7, 1)]
 
 
+def test_repeated_ids_count_like_a_join(scored):
+    predictions, profile = scored
+    high = alerts.high_risk(predictions.union(predictions))
+    doubled = profile.union(profile)
+    joined = high.join(doubled, "student_id")
+    want = {tuple(r) for r in joined.groupBy("grade_level").count().collect()}
+    assert {tuple(r) for r in alerts.grade_counts(high, doubled).collect()} == want
+    top = [tuple(r) for r in alerts.predictions_with_risk(high, doubled, 6).collect()]
+    assert top == [("S1", 0.9, "HIGH", True)] * 4 + [("S3", 0.9, "HIGH", True)] * 2
+
+
 def test_digest(scored):
     predictions, profile = scored
     got = [tuple(r) for r in alerts.digest(alerts.high_risk(predictions), profile, 2).collect()]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import PipelineConfig
 from cohortlens.operators.quality import RepeatedKeyError
+from cohortlens.plans import gold
 from cohortlens.plans.pipeline import LayerFailed, Pipeline, run_pipeline
 from cohortlens.schemas import RAW_FILES
 from cohortlens.sources.audit import newest_first
@@ -149,11 +150,11 @@ def test_hot_and_repeated_keys(spark, tmp_path):
     run = Pipeline(spark, cfg)
     run.bronze(folder)
     run.silver()
-    assert [tuple(r)[:2] for r in run.hot_keys().collect()] == [("S100007", 8)]
+    assert [tuple(r)[:2] for r in run.hot_keys(run.silver_tables()).collect()] == [("S100007", 8)]
     written = run.gold()
     assert written["gold_student_risk_profile"] == 450
     plain = Pipeline(spark, PipelineConfig(database="hot_run"))
-    assert plain.hot_keys() is None
+    assert plain.hot_keys(plain.silver_tables()) is None
     kept = spark.table("hot_run.gold_student_risk_profile").persist()
     kept.count()
     assert plain.gold() == written
@@ -163,6 +164,36 @@ def test_hot_and_repeated_keys(spark, tmp_path):
         Pipeline(spark, PipelineConfig(database="hot_run", on_repeated_key="fail")).gold()
 
 
+def test_bucketed_silver_tables_join_without_exchange(spark, dirty_run, landing):
+    cfg = PipelineConfig(database="bucketed_run", silver_buckets=4)
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    run.bronze(landing)
+    assert run.silver() == {raw.silver: dirty_run[1][raw.silver] for raw in RAW_FILES.values()}
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        profile = gold.student_risk_profile(run.silver_tables())
+        plan = profile._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+        unbucketed = gold.student_risk_profile(Pipeline(spark, dirty_run[0]).silver_tables())
+        assert unbucketed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 5
+        assert profile.exceptAll(unbucketed).isEmpty() and profile.count() == unbucketed.count()
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_hot_key_forbids_buckets(spark, landing):
+    cfg = PipelineConfig(database="hot_bucket_run", silver_buckets=4, hot_key_rows=1)
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    run.bronze(landing)
+    run.silver()
+    described = spark.sql(f"DESCRIBE EXTENDED {cfg.table('silver_students')}").collect()
+    assert not any(r["col_name"] == "Num Buckets" for r in described)
+
+
 def test_observed_count_of_an_empty_write(spark):
     create_database(spark, "empty_write")
     assert save_table(spark.range(0), "empty_write.a") == 0
