@@ -19,6 +19,8 @@ from operator import mul
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.sources.tables import written
+
 # Fixed by design, so that what gets broadcast cannot grow with the data: at most
 # this many hot keys per table.
 MAX_HOT_KEYS = 1_000
@@ -44,7 +46,7 @@ def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """
     return (
         df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(F.expr(f"approx_top_k_accumulate({key}, {SKETCH_ITEMS})").alias("sketch"))
+        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch"))
         .groupBy(F.lit("all"))  # no group, and nothing to merge, for an empty table
         .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
         .select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")))
@@ -54,16 +56,21 @@ def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
 
 
 def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = 1_000_000) -> DataFrame:
-    """One row per key that is hot in any table; column per table: its number of parts there."""
+    """One row per key that is hot in any table; column per table: its number of parts there.
+
+    The list is written once and read back. A sketch may come out differently the
+    next time, and a join must see one and the same list in all its branches.
+    """
     per_table = [frequent_keys(df, key, hot_rows).withColumn("t", F.lit(name)) for name, df in tables.items()]
     parts = [F.coalesce(F.max(F.when(F.col("t") == t, F.col("parts"))), F.lit(1)).alias(t) for t in tables]
-    return reduce(DataFrame.unionByName, per_table).groupBy(key).agg(*parts)
+    return written(reduce(DataFrame.unionByName, per_table).groupBy(key).agg(*parts).coalesce(1))
 
 
 def split_star_join(tables: Mapping[str, DataFrame], key: str, how: str, hot: DataFrame) -> DataFrame:
     """``star_join`` of the first table with the others, hot keys split on either side.
 
-    ``hot`` comes from ``hot_keys`` over (at least) these tables.
+    ``hot`` comes from ``hot_keys`` over (at least) these tables. It must be a
+    stored list: rows would be lost or doubled if two branches saw two lists.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")

@@ -6,6 +6,7 @@ tables, records one audit row per table and stops the run if a table failed.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from cohortlens.plans import gold, silver
 from cohortlens.schemas import RAW_FILES
 from cohortlens.sources import audit
 from cohortlens.sources.files import read_csv, stamp
-from cohortlens.sources.tables import create_database, save_table, written
+from cohortlens.sources.tables import create_database, save_table
 
 AUDIT_TABLE = "pipeline_audit_log"
 
@@ -83,7 +84,7 @@ class Pipeline:
 
     def hot_keys(self, tables: Mapping[str, DataFrame]) -> DataFrame | None:
         """Keys to split in the joins, measured once for all gold tables; None if there are none."""
-        found = written(joins.hot_keys(tables, gold.KEY, self.cfg.hot_key_rows))
+        found = joins.hot_keys(tables, gold.KEY, self.cfg.hot_key_rows)
         return None if found.isEmpty() else found
 
     def gold(self) -> dict[str, int]:
@@ -109,15 +110,17 @@ class Pipeline:
         cfg = self.cfg
         ready = model.features(self.read("gold_student_risk_profile"))
         train, test = model.split(ready, cfg.train_fraction, cfg.seed, cfg.split)
-        fitted = model.fit(model.assemble(train))
         chosen = {"test": test, "all": ready}[cfg.score_on]
-        metrics = self.spark.range(1).select(
-            F.lit(model.auc(model.score(fitted, test))).alias("auc"), F.current_timestamp().alias("run_timestamp")
-        )
-        scores = model.score(fitted, chosen).select("student_id", "dropout_probability")
-        return self.write_layer(
-            "ml", {"gold_dropout_predictions": lambda: scores, "gold_model_metrics": lambda: metrics}
-        )
+        fitted = functools.cache(lambda: model.fit(model.assemble(train)))
+
+        def predictions() -> DataFrame:
+            return model.score(fitted(), chosen).select("student_id", "dropout_probability")
+
+        def metrics() -> DataFrame:
+            auc = model.auc(model.score(fitted(), test))
+            return self.spark.range(1).select(F.lit(auc).alias("auc"), F.current_timestamp().alias("run_timestamp"))
+
+        return self.write_layer("ml", {"gold_dropout_predictions": predictions, "gold_model_metrics": metrics})
 
     def alert(self) -> dict[str, int]:
         rules = self.cfg.rules

@@ -210,7 +210,7 @@ def join_left_star(spark: SparkSession, sf: str) -> DataFrame:
 def join_left_star_split(spark: SparkSession, sf: str) -> DataFrame:
     """The star join with keys split over tasks. One row makes a key hot here."""
     tables = _silver(spark, sf)
-    return gold.joined_flags(tables, written(joins.hot_keys(tables, "student_id", hot_rows=1)))
+    return gold.joined_flags(tables, joins.hot_keys(tables, "student_id", hot_rows=1))
 
 
 def join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:

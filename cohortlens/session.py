@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -39,6 +40,11 @@ def builder(app_name: str = "cohortlens", shuffle_partitions: int | None = None)
     return b
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="cohortlens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one named in ``spark.checkpoint.dir``.
 
@@ -50,5 +56,5 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="cohortlens-")
+        base = _local_base()
     return os.path.join(base, f"cohortlens-{uuid.uuid4().hex}")

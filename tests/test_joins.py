@@ -1,5 +1,6 @@
 """The split join must give the plain join's rows, whatever is hot."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -42,6 +43,22 @@ def test_same_rows_as_plain_join(spark, frames, how, hot_rows):
     assert rows(salted) == rows(plain)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_tables(spark, seed):
+    rng = random.Random(seed)
+    keys = [None, *"abcdef"]
+
+    def table(column):
+        weights = [rng.random() ** 4 for _ in keys]
+        data = [(k, rng.randint(0, 2)) for k in rng.choices(keys, weights, k=rng.randint(1, 40))]
+        return spark.createDataFrame(data, f"k string, {column} int").repartition(rng.randint(1, 4))
+
+    tables = [table(c) for c in "xyz"]
+    for how in ("inner", "left"):
+        plain = star_join(tables[0], tables[1:], "k", how)
+        assert rows(split(tables, how, rng.randint(1, 6))) == rows(plain)
+
+
 def test_swapped_sides(spark, frames):
     left, right, _ = frames
     assert rows(split([right, left], "left", 5)) == rows(right.join(left, "k", "left"))

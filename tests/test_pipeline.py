@@ -128,6 +128,19 @@ def test_failure_is_recorded_and_stops_the_run(spark, tmp_path, clean_landing):
     assert all(r["record_count"] is None and "PATH_NOT_FOUND" in r["error_message"] for r in log)
 
 
+def test_failed_fit_is_recorded(spark, dirty_run):
+    """Without any student the fit fails: both model tables are recorded as failed."""
+    cfg = PipelineConfig(database="failed_fit")
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    empty = spark.table(dirty_run[0].table("gold_student_risk_profile")).limit(0)
+    save_table(empty, cfg.table("gold_student_risk_profile"))
+    with pytest.raises(LayerFailed, match="ml: gold_dropout_predictions"):
+        run.predict()
+    log = spark.table(cfg.table("pipeline_audit_log")).collect()
+    assert {r["table_name"]: r["run_status"] for r in log} == {"gold_dropout_predictions": "FAILED", "gold_model_metrics": "FAILED"}
+
+
 def test_failure_inside_a_task_is_recorded(spark):
     cfg = PipelineConfig(database="task_failure")
     create_database(spark, cfg.database)
