@@ -17,7 +17,7 @@ import time
 from pathlib import Path
 
 from cohortlens.plans.queries import QUERIES
-from cohortlens.session import builder
+from cohortlens.session import builder, sized_for
 
 HEADLINE = [
     "agg_row_counts",
@@ -57,7 +57,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = (
-        builder("cohortlens-bench", shuffle_partitions=cpus)
+        builder("cohortlens-bench", **sized_for(1 << 30, cpus))
         .master(f"local[{cpus}]")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")

@@ -371,6 +371,10 @@ FROM (
     "ml_scored_students": _ml(
         f"SELECT student_id, true AS is_probability, label FROM features WHERE {_bucket('42')} >= 8000"
     ),
+    "ml_calibration": _ml(
+        "SELECT count(*) AS train_rows, sum(label)::BIGINT AS dropped, sum(label)::DOUBLE AS expected_dropped "
+        f"FROM features WHERE {_bucket('42')} < 8000"
+    ),
     "ml_auc_rank": _gold(
         """
 SELECT round(sum(CASE WHEN label = 1 THEN mid ELSE 0 END - CASE WHEN label = 1 THEN (n1 + 1) / 2.0 ELSE 0 END)

@@ -296,6 +296,16 @@ def ml_scored_students(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf).select("student_id", p.between(0, 1).alias("is_probability"), "label")
 
 
+def ml_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    """At the optimum the training rows' probabilities add up to their positive labels."""
+    train, _ = model.split(written(model.features(_profile(spark, sf))))
+    return model.score(model.fit(model.assemble(train)), train).agg(
+        F.count("*").alias("train_rows"),
+        F.sum("label").alias("dropped"),
+        F.round(F.sum("dropout_probability"), 0).alias("expected_dropped"),
+    )
+
+
 def ml_auc_rank(spark: SparkSession, sf: str) -> DataFrame:
     label = F.when(F.col("retention_risk_flag"), 1.0).otherwise(0.0).alias("label")
     scored = written(_profile(spark, sf).select(F.col("risk_score").cast("double"), label))
@@ -417,6 +427,7 @@ QUERIES: dict[str, Query] = {
         ml_hash_split,
         ml_predictions,
         ml_scored_students,
+        ml_calibration,
         ml_auc_rank,
         pred_with_risk_topk,
         alert_threshold_ge,

@@ -9,35 +9,38 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 << 20
+MB = 1 << 20
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions that keep one partition near 128 MB and every core busy.
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle sizes for a run over ``input_bytes``.
 
-    AQE merges partitions that turn out small, so aiming high is safe.
+    Scan splits grow from 128 MB to 1 GB so that a very large input keeps to about
+    100,000 scan tasks. Shuffle partitions aim at 512 MB of input each, at least
+    one per core and at most 32,000, because the number of shuffle blocks is the
+    product of both; the joins read few of the columns, and sort-merge joins spill.
+    AQE merges partitions that turn out small.
     """
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    split = min(max(input_bytes // 100_000, 128 * MB), 1024 * MB)
+    partitions = min(max(-(-input_bytes // (512 * MB)), cores), max(cores, 32_000))
+    return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(partitions)}
 
 
-def builder(app_name: str = "cohortlens", shuffle_partitions: int | None = None) -> SparkSession.Builder:
-    """Builder with the adaptive settings the joins rely on.
+def builder(app_name: str = "cohortlens", **settings: str) -> SparkSession.Builder:
+    """Builder with the adaptive settings the joins rely on, plus the given ones.
 
     ``forceOptimizeSkewedJoin`` lets AQE split a hot partition in the middle of
     the star join's chain too, where that costs one more exchange.
     """
-    b = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-    )
-    if shuffle_partitions is not None:
-        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return b
+    adaptive = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+    return SparkSession.builder.appName(app_name).config(map={**adaptive, **settings})
 
 
 @functools.cache

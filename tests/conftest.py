@@ -6,14 +6,14 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from cohortlens.session import builder  # noqa: E402
+from cohortlens.session import builder, sized_for  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = (
-        builder("cohortlens-tests", shuffle_partitions=8)
+        builder("cohortlens-tests", **sized_for(1 << 20, cores=8))
         .master("local[8]")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(shared))
