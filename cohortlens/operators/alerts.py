@@ -40,10 +40,12 @@ def predictions_with_risk(predictions: DataFrame, profile: DataFrame, k: int = 2
     """The k most at-risk students with their risk level.
 
     Only predictions that have a profile can be in the answer, and only the top k
-    of those, so k rows are joined instead of all.
+    of those, so k rows are joined instead of all. The ids looked up are made
+    distinct first, map-side, so that a repeated one weighs no more than another.
     """
     risk = profile.select("student_id", "risk_level", "intervention_required")
-    known = predictions.select("student_id", "dropout_probability").join(risk, "student_id", "left_semi")
+    ids = risk.select("student_id").distinct()
+    known = predictions.select("student_id", "dropout_probability").join(ids, "student_id", "left_semi")
     return by_probability(risk.join(F.broadcast(by_probability(known).limit(k)), "student_id")).limit(k).select(
         "student_id", "dropout_probability", "risk_level", "intervention_required"
     )

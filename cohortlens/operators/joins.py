@@ -43,6 +43,8 @@ def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Keys with about ``hot_rows`` rows or more and how many parts to split each into.
 
     One pass over the key column with a frequent-items sketch: no key is shuffled.
+    NULL is listed as well when frequent, since a plain join puts all NULL keys of
+    its left side into one task.
     """
     return (
         df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
@@ -50,7 +52,7 @@ def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
         .groupBy(F.lit("all"))  # no group, and nothing to merge, for an empty table
         .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
         .select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")))
-        .where((F.col("count") >= hot_rows) & F.col("item").isNotNull())
+        .where(F.col("count") >= hot_rows)
         .select(F.col("item").alias(key), F.ceil(F.col("count") / hot_rows).alias("parts"))
     )
 

@@ -21,10 +21,15 @@ def _plain(value):
     return value
 
 
+def _order(row):
+    """Sort key that puts NULL after any value and never compares two types."""
+    return [(value is None, type(value).__name__, value) if value is not None else (True, "", 0) for value in row]
+
+
 def _sorted(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     plain = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return [columns[i] for i in order], sorted(plain, key=lambda r: [(v is None, str(type(v)), v) if v is not None else (True, "", 0) for v in r])
+    return [columns[i] for i in order], sorted(plain, key=_order)
 
 
 def compare(spark_df, con, sql: str) -> str:

@@ -74,9 +74,9 @@ def test_equal_copies_are_spread(spark):
 
 def test_hot_keys_counts_parts(spark, frames):
     left, right, _ = frames
-    assert {r["k"]: r["parts"] for r in frequent_keys(left, "k", 10).collect()} == {"a": 6, "both": 2}
+    assert {r["k"]: r["parts"] for r in frequent_keys(left, "k", 10).collect()} == {"a": 6, "both": 2, None: 2}
     both = hot_keys({"l": left, "r": right}, "k", 10).collect()
-    assert {tuple(r) for r in both} == {("a", 6, 1), ("b", 1, 7), ("both", 2, 2)}
+    assert {tuple(r) for r in both} == {("a", 6, 1), ("b", 1, 7), ("both", 2, 2), (None, 2, 1)}
 
 
 def test_hot_key_is_found_among_many_and_their_number_is_bounded(spark):

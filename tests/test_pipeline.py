@@ -177,6 +177,22 @@ def test_hot_and_repeated_keys(spark, tmp_path):
         Pipeline(spark, PipelineConfig(database="hot_run", on_repeated_key="fail")).gold()
 
 
+def test_many_missing_ids_are_spread(spark, tmp_path):
+    """A third of the students have no id: they match nothing and stay in the profile."""
+    tables = raw_tables(spark, 300)
+    lost = F.when(F.col("grade_level") < 8, F.lit(None)).otherwise(F.col("student_id"))
+    tables["students"] = tables["students"].withColumn("student_id", lost)
+    cfg = PipelineConfig(database="lost_ids", hot_key_rows=40)
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    run.bronze(land(tables, tmp_path))
+    run.silver()
+    assert [r["student_id"] for r in run.hot_keys(run.silver_tables()).collect()] == [None]
+    assert run.gold()["gold_student_risk_profile"] == 300
+    missing = run.read("gold_student_risk_profile").where("student_id IS NULL")
+    assert missing.count() > 50 and missing.where("risk_score <> 0 OR retention_status IS NOT NULL").isEmpty()
+
+
 def test_bucketed_silver_tables_join_without_exchange(spark, dirty_run, landing):
     cfg = PipelineConfig(database="bucketed_run", silver_buckets=4)
     create_database(spark, cfg.database)
