@@ -32,8 +32,19 @@ def _sorted(columns, rows):
     return [columns[i] for i in order], sorted(plain, key=_order)
 
 
+# The SQL name of each Spark type.
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def compare_types(spark_df, con, sql: str) -> str:
+    """Empty if column names and types agree, else both sides."""
+    want = sorted((d[0], d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall())
+    got = sorted((name, SQL_TYPES.get(kind, kind)) for name, kind in spark_df.dtypes)
+    return "" if got == want else f"{[g for g in got if g not in want]} != {[w for w in want if w not in got]}"
+
+
 def compare(spark_df, con, sql: str) -> str:
-    """Empty if columns, types of value and all rows agree, else what differs."""
+    """Empty if columns and all rows agree, else what differs."""
     result = con.execute(sql)
     want = _sorted([d[0] for d in result.description], result.fetchall())
     got = _sorted(spark_df.columns, [tuple(r) for r in spark_df.collect()])

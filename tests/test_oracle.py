@@ -1,7 +1,7 @@
 """Every named query against the same query in SQL, over the whole small tables."""
 
 import pytest
-from check import compare, duckdb_tables
+from check import compare, compare_types, duckdb_tables
 
 import __spark_entry__ as contract
 
@@ -20,7 +20,9 @@ def test_every_query_but_the_fit_has_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
-    assert compare(contract.queries()[name](spark, SF), con, contract.oracle_sql()[name]) == ""
+    result, sql = contract.queries()[name](spark, SF), contract.oracle_sql()[name]
+    assert compare_types(result, con, sql) == ""
+    assert compare(result, con, sql) == ""
 
 
 def test_entry(spark):
