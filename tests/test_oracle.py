@@ -4,6 +4,8 @@ import pytest
 from check import compare, compare_types, duckdb_tables
 
 import __spark_entry__ as contract
+from cohortlens.plans.oracle import ORACLE
+from cohortlens.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_but_the_fit_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"ml_predictions"}
+    assert set(QUERIES) - set(ORACLE) == {"ml_predictions"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
-    result, sql = contract.queries()[name](spark, SF), contract.oracle_sql()[name]
+    result, sql = QUERIES[name](spark, SF), ORACLE[name]
     assert compare_types(result, con, sql) == ""
     assert compare(result, con, sql) == ""
 

@@ -2,22 +2,22 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from cohortlens.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # These write or fit while they are built; their parts are covered by other queries.
 EAGER = {"audit_log", "ml_predictions", "ml_scored_students", "ml_calibration", "ml_auc_rank", "snk_overwrite_table"}
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_products_and_no_python(spark, name):
-    plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD"):
         assert forbidden not in plan
 
 
 def test_flagship_reads_only_what_it_needs(spark):
-    plan = contract.queries()["gold_student_risk_profile"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["gold_student_risk_profile"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for unused in ("o_totalprice", "c_name", "o_orderkey"):
         assert unused not in plan
     assert plan.count("FileScan") <= 11
