@@ -1,0 +1,93 @@
+import hashlib
+
+from cohortlens.llm import ctph
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    (m, s, t), (n, u, v) = a.split(":"), b.split(":")
+    sim = lambda x, y: 1.0 if not (x or y) else 1 - levenshtein(x, y) / max(len(x), len(y))
+    if m == n:
+        return max(sim(s, u), sim(t, v) if t else 0.0)
+    return sim(s, v) if int(m) == 2 * int(n) else sim(t, u) if 2 * int(m) == int(n) else 0.0
+
+
+def brute(rows):
+    """(doc_id, text) rows with distinct ids."""
+    ordered = sorted(((i, t or "") for i, t in rows), reverse=True)
+    out = {}
+    for k, (i, t) in enumerate(ordered):
+        following = ordered[(k + 1) % len(ordered)][1]
+        half = len(t) // 2
+        new = t[: len(t) - half] + following[:half]
+        prints = [ctph.fingerprint(x) for x in (t, new, following)]
+        out[i] = (len(t), hashlib.sha256(new.encode()).hexdigest(), prints[0], prints[1], alike(*prints[:2]), alike(prints[0], prints[2]))
+    return out
+
+
+def results(docs):
+    return {
+        r.doc_id: (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next)
+        for r in ctph.edited(docs).collect()
+    }
+
+
+def same(got, want):
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][:4] == want[k][:4]
+        assert abs(got[k][4] - want[k][4]) < 1e-9 and abs(got[k][5] - want[k][5]) < 1e-9
+
+
+def test_all_documents_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = results(docs.repartition(5))
+    same(got, brute([(r.doc_id, r.text) for r in docs.collect()]))
+    assert sum(g[4] > g[5] for g in got.values()) > 0.9 * len(got)
+
+
+def test_cases(frame):
+    rows = [(1, None), (2, ""), (3, "é"), (4, "same words here " * 50), (5, "same words here " * 50), (9, "ab" * 60_000)]
+    same(results(frame(rows, "doc_id long, text string")), brute(rows))
+    same(results(frame(rows[3:4], "doc_id long, text string")), brute(rows[3:4]))
+    assert ctph.edited(frame([], "doc_id long, text string")).count() == 0
+    repeated = ctph.edited(frame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")).collect()
+    assert len(repeated) == 3
+
+
+def test_near_texts_are_alike_and_far_ones_are_not():
+    words = [f"word{i * 7919 % 1000}" for i in range(2000)]
+    text = " ".join(words)
+    near = " ".join(words[:900] + ["inserted"] + words[900:])
+    far = " ".join(f"other{i * 104729 % 997}" for i in range(2000))
+    assert alike(ctph.fingerprint(text), ctph.fingerprint(near)) > 0.85
+    assert alike(ctph.fingerprint(text), ctph.fingerprint(far)) < 0.4
+
+
+def test_signature_is_a_plain_piecewise_hash():
+    data = ("some text with words " * 40 + "tail").encode()
+    hashed = []
+    for i in range(len(data)):
+        value = sum((data[i - k] + 1) * pow(0x01000193, k, 2**32) for k in range(7) if i >= k) % 2**32
+        value = (value ^ value >> 15) * 0x85EBCA6B % 2**32
+        hashed.append(value ^ value >> 13)
+    for block in (3, 12, 48):
+        chunks, chunk = [], []
+        for i, h in enumerate(hashed):
+            chunk.append(h)
+            if h % block == block - 1 and len(chunks) < 63:
+                chunks.append(chunk)
+                chunk = []
+        chunks += [chunk] if chunk else []
+        want = "".join(chr(ctph.ALPHABET[sum(c) * 0xC2B2AE35 % 2**32 >> 26]) for c in chunks)
+        assert ctph._signature(ctph._rolling(data), block) == want
