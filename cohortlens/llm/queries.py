@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, chat, ctph, layout, rules, warc
+from cohortlens.llm import bpe, chat, ctph, layout, rules, toxicity, warc
 from cohortlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.store_and_read(table(spark, sf_dir, "pages"))
 
 
+def op4_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a fit on labelled documents outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, failed rules and verdict of every document."""
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -55,5 +64,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
+    for f in (op1_warc, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
 }

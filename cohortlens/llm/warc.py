@@ -203,9 +203,14 @@ def read_record(data: bytes) -> tuple:
     return _page(fields["warc-record-id"]), size, digest, kind, _page(fields.get("warc-refers-to"))
 
 
-def read_back(index: DataFrame) -> DataFrame:
-    """Fetches every record of the index by its offset."""
-    dealt = index.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+def read_back(index: DataFrame, parts: int | None = None) -> DataFrame:
+    """Fetches every record of the index by its offset.
+
+    The index is small for the work it stands for: ``parts`` keeps its rows in that
+    many tasks (default: the shuffle partitions).
+    """
+    parts = parts or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.repartitionByRange(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
     names = [c.split()[0] for c in READ.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
