@@ -27,7 +27,9 @@ text scores 0; repeated or conflicting labels of a document count as they stand.
 
 from __future__ import annotations
 
+import heapq
 import re
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -117,6 +119,8 @@ class Fit:
     landmarks: int = 192
     negatives: int = 8000
     rounds: int = 4
+    likely: int = 12
+    others: int = 40
     cost: float = 10.0
     seed: int = 7
 
@@ -149,9 +153,6 @@ class _Words:
         self.word, self.index, self.weight = word[order], self.index[order], self.weight[order]
         self.size = len(words)
 
-    def values(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.word, self.weight * weights[self.index], self.size)
-
     def dense(self, chosen: np.ndarray) -> np.ndarray:
         out = np.zeros((len(chosen), TRIPLES), np.float32)
         for row, word in enumerate(chosen):
@@ -215,63 +216,78 @@ def _grams(word: str) -> set[str]:
     return {marked[i : i + 4] for i in range(max(1, len(marked) - 3))}
 
 
+def _round(
+    words: list[str], bags: list[np.ndarray], labels: np.ndarray, score: np.ndarray, first: bool, settings: Fit, chance
+) -> tuple[np.ndarray, float]:
+    """One fit on the words that the scores so far suggest: weights of the triples, bias."""
+    features = _Words(words)
+    none = np.zeros(0, np.int64)
+    clean = np.unique(np.concatenate([none, *[b for b, t in zip(bags, labels, strict=True) if not t]]))
+    toxic = [b for b, t in zip(bags, labels, strict=True) if t and len(b)]
+    # At first the words near a document's best guess, then those the machine takes for positive.
+    least = [score[b].max() - 1 if first else min(score[b].max(), 0.5) for b in toxic]
+    found = np.concatenate([none, *[b[score[b] >= m] for b, m in zip(toxic, least, strict=True)]])
+    positive, times = np.unique(found, return_counts=True)
+    keep = ~np.isin(positive, clean)
+    if keep.any():
+        positive, times = positive[keep], times[keep]
+    hard = clean[np.argsort(-score[clean], kind="stable")[: settings.negatives // 2]]
+    rest = chance.permutation(clean)[: settings.negatives // 2]
+    negative = np.union1d(hard, rest)
+    # Landmarks: the commonest positive words, one of each of some documents, hard and other clean words.
+    quarter = settings.landmarks // 4
+    top = positive[np.argsort(-times, kind="stable")[:quarter]]
+    best = np.array([b[np.argmax(score[b])] for b in toxic], np.int64)
+    marks = np.unique(np.concatenate([top, chance.permutation(best)[:quarter], hard[:quarter], rest[:quarter]]))
+    phi = features.dense(marks)
+    values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
+    good = values > values.max() * 1e-6
+    root = vectors[:, good] / np.sqrt(values[good])
+    disguised = [v for i in positive for v in _disguised(words[i], chance)]
+    kernels = [features.kernel(np.concatenate([positive, negative]), phi)]
+    kernels.append(_Words(disguised).kernel(np.arange(len(disguised)), phi))
+    z = np.concatenate(kernels) @ root
+    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative)), np.ones(len(disguised))])
+    plain = times / times.sum()
+    share = np.concatenate([plain, np.full(len(negative), 1 / max(len(negative), 1)), np.repeat(plain, 3) / 6])
+    fitted = _machine(z, y, share * len(y) / 2, settings.cost)
+    weights = (phi.T @ (root @ fitted[:-1])).astype(np.float32)
+    index = np.arange(TRIPLES)
+    weights[(index >> 10 == 0) | (index >> 5 & 31 == 0) | (index & 31 == 0)] = 0
+    return weights, float(fitted[-1])
+
+
 def fit_sample(texts: Sequence[str], toxic: Sequence[int], settings: Fit = Fit()) -> Model:
     """Fits on labelled texts in memory."""
     labels = np.asarray(toxic, bool)
     if labels.all() or not labels.any():
         return Model(np.zeros(TRIPLES, np.float32), 0.0, 0.0, -np.inf)
-    bags = [sorted({w.strip(".,;:!?\"'()").lower() for w in _SPACES.split(t)} - {""}) for t in texts]
-    words = sorted(set().union(*bags))
-    at = {w: i for i, w in enumerate(words)}
-    bags = [np.array([at[w] for w in bag], np.int64) for bag in bags]
+    whole = [sorted({sys.intern(w.strip(".,;:!?\"'()").lower()) for w in _SPACES.split(t)} - {""}) for t in texts]
     # First guess: the four-letter pieces that occur in toxic documents above all.
-    pieces = [_grams(w) for w in words]
     seen = [Counter(), Counter()]
-    for bag, label in zip(bags, labels, strict=True):
-        seen[int(label)].update(set().union(*[pieces[i] for i in bag]) if len(bag) else ())
+    for bag, label in zip(whole, labels, strict=True):
+        seen[int(label)].update(set().union(*map(_grams, bag)))
     n_clean, n_toxic = (~labels).sum(), labels.sum()
     odds = {g: np.log((n + 0.5) / (n_toxic + 1)) - np.log((seen[0][g] + 0.5) / (n_clean + 1)) for g, n in seen[1].items()}
-    score = np.array([max(odds.get(g, -9.0) for g in piece) for piece in pieces])
-    features = _Words(words)
-    clean = np.unique(np.concatenate([np.zeros(0, np.int64), *[b for b, t in zip(bags, labels, strict=True) if not t]]))
+    guess = lambda w: max(odds.get(g, -9.0) for g in _grams(w))
     chance = np.random.default_rng(settings.seed)
+    # Some words stand for a document: its likeliest, a few others, and later those that score highest.
+    chosen = []
+    for bag in whole:
+        others = chance.choice(len(bag), min(len(bag), settings.others), replace=False) if bag else ()
+        chosen.append({*heapq.nlargest(settings.likely, bag, key=guess), *[bag[k] for k in others]})
     weights, bias = np.zeros(TRIPLES, np.float32), 0.0
-    toxic_bags = [b for b, t in zip(bags, labels, strict=True) if t and len(b)]
     for turn in range(settings.rounds):
-        # At first the words near a document's best guess, then those the machine takes for positive.
-        least = [score[b].max() - 1 if turn == 0 else min(score[b].max(), 0.5) for b in toxic_bags]
-        found = np.concatenate([np.zeros(0, np.int64), *[b[score[b] >= m] for b, m in zip(toxic_bags, least, strict=True)]])
-        positive, times = np.unique(found, return_counts=True)
-        keep = ~np.isin(positive, clean)
-        if keep.any():
-            positive, times = positive[keep], times[keep]
-        hard = clean[np.argsort(-score[clean], kind="stable")[: settings.negatives // 2]]
-        rest = chance.permutation(clean)[: settings.negatives // 2]
-        negative = np.union1d(hard, rest)
-        # Landmarks: the commonest positive words, one of each of some documents, hard and other clean words.
-        quarter = settings.landmarks // 4
-        top = positive[np.argsort(-times, kind="stable")[:quarter]]
-        best = np.array([b[np.argmax(score[b])] for b in toxic_bags], np.int64)
-        marks = np.unique(np.concatenate([top, chance.permutation(best)[:quarter], hard[:quarter], rest[:quarter]]))
-        phi = features.dense(marks)
-        values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
-        good = values > values.max() * 1e-6
-        root = vectors[:, good] / np.sqrt(values[good])
-        disguised = [v for i in positive for v in _disguised(words[i], chance)]
-        kernels = [features.kernel(np.concatenate([positive, negative]), phi)]
-        kernels.append(_Words(disguised).kernel(np.arange(len(disguised)), phi))
-        z = np.concatenate(kernels) @ root
-        y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative)), np.ones(len(disguised))])
-        plain = times / times.sum()
-        share = np.concatenate([plain, np.full(len(negative), 1 / max(len(negative), 1)), np.repeat(plain, 3) / 6])
-        share *= len(y) / 2
-        fitted = _machine(z, y, share, settings.cost)
-        weights = (phi.T @ (root @ fitted[:-1])).astype(np.float32)
-        bias = float(fitted[-1])
-        score = features.values(weights) + bias
-    index = np.arange(TRIPLES)
-    weights[(index >> 10 == 0) | (index >> 5 & 31 == 0) | (index & 31 == 0)] = 0
-    slope, offset = _logistic(np.clip(decisions(texts, weights, bias), -LIMIT, LIMIT), labels.astype(float))
+        if turn:
+            for bag, own in zip(whole, chosen, strict=True):
+                own.update(bag[k] for k in np.argsort(-decisions(bag, weights, bias), kind="stable")[:3])
+        words = sorted(set().union(*chosen))
+        at = {w: i for i, w in enumerate(words)}
+        score = decisions(words, weights, bias) if turn else np.array([guess(w) for w in words])
+        bags = [np.array(sorted(at[w] for w in own), np.int64) for own in chosen]
+        weights, bias = _round(words, bags, labels, score, turn == 0, settings, chance)
+    best = np.array([decisions([t], weights, bias)[0] for t in texts])
+    slope, offset = _logistic(np.clip(best, -LIMIT, LIMIT), labels.astype(float))
     return Model(weights, bias, slope, offset)
 
 
