@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, chat, ctph, layout, rules, toxicity, warc
+from cohortlens.llm import bpe, chat, ctph, layout, mixing, rules, toxicity, warc
 from cohortlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.store_and_read(table(spark, sf_dir, "pages"))
 
 
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and the rate of every document for equal shares of the four languages."""
+    settings = mixing.Mixing()
+    docs = table(spark, sf_dir, "documents")
+    rated = mixing.rates(docs, docs, table(spark, sf_dir, "labels"), settings)
+    soft = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(settings.domains)]
+    return rated.select("doc_id", "n_rows", "n_tokens", *soft, "rate")
+
+
 def op4_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, by a fit on labelled documents outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,5 +73,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
+    for f in (op1_warc, op3_soft_mixing, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
 }
