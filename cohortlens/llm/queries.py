@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, chat, ctph, layout, mixing, rules, toxicity, warc
+from cohortlens.llm import bpe, chat, ctph, layout, mixing, repeats, rules, toxicity, warc
 from cohortlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.store_and_read(table(spark, sf_dir, "pages"))
 
 
+def op2_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document once windows of 13 words that smaller ids hold are removed."""
+    cut = repeats.remove(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors and the rate of every document for equal shares of the four languages."""
     settings = mixing.Mixing()
@@ -73,5 +79,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op3_soft_mixing, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
+    for f in (op1_warc, op2_phrase_automata, op3_soft_mixing, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
 }
