@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import accumulate, compress
 
 import numpy as np
 import pandas as pd
@@ -46,25 +47,23 @@ NO_ID = (1 << 63) - 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bounded number."""
 
     def __init__(self, most: int = 400_000):
         import xxhash
 
-        self._hash, self._known, self._most = xxhash.xxh64_intdigest, {}, most
+        super().__init__()
+        self._hash, self._most = xxhash.xxh64_intdigest, most
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = self._hash(word)
+        return value
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > self._most:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self._hash(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self) > self._most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def sequence_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -233,10 +232,9 @@ def _followers(windows: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, "doc_id long, window long, source long")
 
 
-def _passages(words: list[bytes], hashed: np.ndarray, wanted: np.ndarray) -> list[bytes]:
+def _passages(words: list[bytes], windows: np.ndarray, wanted: np.ndarray) -> list[bytes]:
     """Runs of the wanted windows as text."""
-    hit = np.isin(sequence_hashes(hashed, WINDOW), wanted)
-    starts = np.flatnonzero(hit)
+    starts = np.flatnonzero(np.isin(windows, wanted))
     if not len(starts):
         return []
     cuts = np.flatnonzero(np.diff(starts) > 1) + 1
@@ -267,10 +265,10 @@ def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
                     out.append((int(follows), 1, doc_id, text))
                 if asked is not None and len(asked):
                     words = split(text)
-                    hashed = hashes(words)
+                    windows = sequence_hashes(hashes(words), WINDOW)
                     for r in asked:
-                        windows = np.asarray(r["windows"], np.int64).view(np.uint64)
-                        out += [(r["shard"], 0, doc_id, p.decode()) for p in _passages(words, hashed, windows)]
+                        wanted = np.asarray(r["windows"], np.int64).view(np.uint64)
+                        out += [(r["shard"], 0, doc_id, p.decode()) for p in _passages(words, windows, wanted)]
             if out:
                 yield pd.DataFrame(out, columns=["shard", "kind", "doc_id", "text"])
 
@@ -287,33 +285,38 @@ class Phrases:
         self._ready = False
 
     def add(self, passage: str, source: int) -> None:
-        words = [w.decode() for w in passage.encode().split()]
+        """``passage``: words joined by one blank each."""
+        words = passage.split(" ")
+        starts = [0, *accumulate(len(w) + 1 for w in words)]
         for i in range(0, len(words) - BLOCK + 1, BLOCK):
-            self._automaton.add_word(f" {' '.join(words[i : i + BLOCK])} ", 0)
-        for i in range(len(words) - WINDOW + 1):
-            key = " ".join(words[i : i + WINDOW])
-            self._sources[key] = min(source, self._sources.get(key, source))
-
-    def covered(self, text: str, doc_id: int) -> tuple[list[str], np.ndarray]:
-        """The words of the text and which of them lie in a window of a smaller doc_id."""
-        words = [w.decode() for w in split(text)]
+            self._automaton.add_word(f" {passage[starts[i] : starts[i + BLOCK] - 1]} ", 0)
+        known, get = self._sources, self._sources.get
+        for begin, end in zip(starts, starts[WINDOW:], strict=False):
+            key = passage[begin : end - 1]
+            if get(key, NO_ID) >= source:
+                known[key] = source
+
+    def covered(self, joined: str, doc_id: int) -> np.ndarray:
+        """Which words of a text, joined by one blank each, lie in a window of a smaller doc_id."""
+        words = joined.split(" ")
         mask = np.zeros(len(words) + 1, np.int32)
         if len(words) >= WINDOW and self._sources:
             if not self._ready:
                 self._automaton.make_automaton()
                 self._ready = True
-            joined = " ".join(words)
-            starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
+            starts = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+            starts = np.concatenate(([0], starts))
             ends = np.fromiter((end for end, _ in self._automaton.iter(f" {joined} ")), np.int64)
             # A hit ends at the blank behind a block; the block's first word is BLOCK words before.
             first = np.searchsorted(starts, ends) - BLOCK
             tried = np.unique((first[:, None] - np.arange(WINDOW - BLOCK + 1)).reshape(-1))
-            get = self._sources.get
-            for at in tried[(tried >= 0) & (tried + WINDOW <= len(words))].tolist():
-                if get(joined[starts[at] : starts[at + WINDOW] - 1], doc_id) < doc_id:
-                    mask[at] += 1
-                    mask[at + WINDOW] -= 1
-        return words, np.cumsum(mask[:-1]) > 0
+            tried = tried[(tried >= 0) & (tried + WINDOW <= len(words))]
+            get, begins, stops = self._sources.get, starts[tried].tolist(), (starts[tried + WINDOW] - 1).tolist()
+            held = [get(joined[b:e], doc_id) < doc_id for b, e in zip(begins, stops, strict=True)]
+            gone = tried[np.array(held, bool)]
+            np.add.at(mask, gone, 1)
+            np.add.at(mask, gone + WINDOW, -1)
+        return np.cumsum(mask[:-1]) > 0
 
 
 def _stream(sharded: DataFrame, shards: int) -> DataFrame:
@@ -330,9 +333,10 @@ def _stream(sharded: DataFrame, shards: int) -> DataFrame:
                 if kind == 0:
                     phrases.add(text, doc_id)
                     continue
-                words, gone = phrases.covered(text, doc_id)
-                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out.append((doc_id, _digest([w.encode() for w in words]), int(gone.sum()), " ".join(kept)))
+                joined = b" ".join(split(text))
+                gone = phrases.covered(joined.decode(), doc_id)
+                kept = " ".join(compress(joined.decode().split(" "), (~gone).tolist()))
+                out.append((doc_id, hashlib.sha256(joined).hexdigest(), int(gone.sum()), kept))
             if out:
                 yield pd.DataFrame(out, columns=["doc_id", "whole", "n_removed", "kept"])
 
