@@ -141,8 +141,13 @@ def _mapped(docs: DataFrame, extra: str, ranks: Mapping[bytes, int], pattern: st
 
 
 def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """Adds ``ids`` (array of int), the tokens of the whole text."""
-    return _mapped(docs, "ids array<int>", ranks, pattern, text, lambda codec, t: (codec.encode(t),))
+    """Adds ``ids`` (array of int), the tokens of the whole text, and their number ``n_tokens``."""
+
+    def row(codec: Codec, t: str):
+        ids = codec.encode(t)
+        return ids, len(ids)
+
+    return _mapped(docs, "ids array<int>, n_tokens long", ranks, pattern, text, row)
 
 
 def decode(encoded: DataFrame, ranks: Mapping[bytes, int], ids: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, chat, ctph, layout, mixing, repeats, rules, toxicity, warc
+from cohortlens.llm import bpe, chat, ctph, layout, mixing, repeats, rules, shingle_join, toxicity, warc
 from cohortlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,23 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by the similarity of their shingle sets."""
+    return shingle_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op2_phrase_automata, op3_soft_mixing, op4_string_kernel, op5_quality_rules, op6_piecewise_hash, op7_chat_format, op8_html_layout, op9_byte_bpe)
+    for f in (
+        op1_warc,
+        op2_phrase_automata,
+        op3_soft_mixing,
+        op4_string_kernel,
+        op5_quality_rules,
+        op6_piecewise_hash,
+        op7_chat_format,
+        op8_html_layout,
+        op9_byte_bpe,
+        op10_shingle_join,
+    )
 }

@@ -36,13 +36,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices, text_or_empty
+from cohortlens.llm.common import bitmap, in_bitmap, slices, text_or_empty, words_column
 from cohortlens.operators.skew import lookup_join
 from cohortlens.sources.tables import written
 
 WINDOW, PIECE, BLOCK = 13, 5, 7
 SHARD_WORDS = 100_000
-MOST_BITS = 1 << 29
 NO_ID = (1 << 63) - 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -164,34 +163,12 @@ def _recurring(prints: DataFrame) -> DataFrame:
     return both.filter("a <> b").select("print")
 
 
-def _bitmap(recurring: DataFrame) -> np.ndarray:
-    """One bit per hash value of the recurring fingerprints; its size is bounded by ``MOST_BITS``."""
-    bits = 1 << 20
-    count = recurring.count()
-    while bits < 8 * count and bits < MOST_BITS:
-        bits *= 2
-    page = 1 << 19
-
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        marks = np.zeros(page, bool)
-        marks[frame["at"].to_numpy()] = True
-        return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(marks).tobytes()]})
-
-    place = F.pmod(F.col("print"), F.lit(bits))
-    paged = recurring.select(F.floor(place / page).cast("long").alias("page"), F.pmod(place, F.lit(page)).alias("at")).distinct()
-    out = np.zeros((bits // page, page // 8), np.uint8)
-    for r in paged.groupBy("page").applyInPandas(run, "page long, bits binary").toLocalIterator():
-        out[r.page] = np.frombuffer(r.bits, np.uint8)
-    return out.reshape(-1)
-
-
-def _windows(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
+def _windows(rows: DataFrame, marks: np.ndarray) -> DataFrame:
     """Rows (window, doc_id): distinct windows of a document under recurring fingerprints."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, marks = WordHashes(), shared.value
-        bits = np.uint64(len(marks) * 8 - 1)
+        hashes = WordHashes()
         for frame in slices(frames, "text"):
             found, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
@@ -199,10 +176,9 @@ def _windows(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 if len(words) < WINDOW:
                     continue
                 hashed = hashes(words)
-                at = window_fingerprints(hashed) & bits
-                hit = marks[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & 1
+                hit = in_bitmap(shared.value, window_fingerprints(hashed))
                 if hit.any():
-                    own = np.unique(sequence_hashes(hashed, WINDOW)[hit.astype(bool)])
+                    own = np.unique(sequence_hashes(hashed, WINDOW)[hit])
                     found.append(own)
                     ids.append(np.full(len(own), doc_id))
             yield pd.DataFrame({"window": np.concatenate(found).view(np.int64), "doc_id": np.concatenate(ids)})
@@ -348,8 +324,8 @@ def remove(docs: DataFrame) -> DataFrame:
     words were removed, NULL where all words stay."""
     rows = _rows(docs)
     base = written(_base(rows))
-    bitmap = _bitmap(written(_recurring(_fingerprints(rows))))
-    followers = written(_followers(_windows(rows, bitmap)))
+    marks = bitmap(written(_recurring(_fingerprints(rows))), "print")
+    followers = written(_followers(_windows(rows, marks)))
     spark = docs.sparkSession
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), followers.count() // SHARD_WORDS)
     cut = _stream(_to_shards(rows, followers, shards), shards).dropDuplicates(["doc_id", "whole"])
@@ -370,3 +346,19 @@ def remove(docs: DataFrame) -> DataFrame:
         F.when(copy, F.lit("")).when(changed, F.col("kept")).alias("kept"),
         F.col("whole"),
     )
+
+
+def apply(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words removed: a text that lost words is what is left, joined by one
+    blank each, and ``n_chars``, if there, its length; other texts stay as they are."""
+    removed = remove(docs).filter("n_removed > 0").dropDuplicates(["doc_id", "whole"])
+    changed = removed.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_of"), F.col("kept").alias("_kept"))
+    digest = F.sha2(F.array_join(words_column(text_or_empty()), " "), 256)
+    joined = docs.withColumn("_whole", digest).join(
+        changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_whole") == F.col("_of")), "left"
+    )
+    new = {"text": F.coalesce("_kept", "text")}
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col("n_chars"))
+        new["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    return joined.withColumns(new).select(*docs.columns)
