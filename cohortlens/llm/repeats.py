@@ -43,47 +43,58 @@ from cohortlens.sources.tables import written
 WINDOW, PIECE, BLOCK = 13, 5, 7
 SHARD_WORDS = 100_000
 NO_ID = (1 << 63) - 1
-_M = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bounded number."""
+class Hashes:
+    """64-bit hashes of words and of runs of words, in a few numpy passes over a text.
 
-    def __init__(self, most: int = 400_000):
-        import xxhash
-
-        super().__init__()
-        self._hash, self._most = xxhash.xxh64_intdigest, most
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = self._hash(word)
-        return value
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self._most:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    The hash of a stretch is a difference of two prefix sums of weighted values, made
+    independent of its place by the inverse weight (odd weights have one modulo 2^64).
+    """
 
+    _STEP = 0x9E3779B97F4A7C15
 
-def sequence_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """A hash of each run of ``length`` words."""
-    count = len(words) - length + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    out = words[:count] * _M
-    for k in range(1, length):
+    def __init__(self):
+        self._values = np.random.default_rng(64).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        self._space = np.zeros(256, bool)
+        self._space[[32, 9, 10, 11, 12, 13]] = True
+        self._grow(1 << 16)
+
+    def _grow(self, size: int) -> None:
+        for name, step in (("_weight", self._STEP), ("_inverse", pow(self._STEP, -1, 1 << 64))):
+            setattr(self, name, np.cumprod(np.full(size, step, np.uint64)))
+
+    def _stretches(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(values) > len(self._weight):
+            self._grow(2 * len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self._weight[: len(values)], out=sums[1:])
+        out = (sums[ends] - sums[starts]) * self._inverse[starts]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
         out ^= out >> np.uint64(29)
-        out += words[k : k + count]
-        out *= _M
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(29)
-    return out
-
-
-def window_fingerprints(words: np.ndarray) -> np.ndarray:
+        return out
+
+    def __call__(self, data: bytes) -> np.ndarray:
+        """The hash of each word of a text in UTF-8."""
+        codes = np.frombuffer(data, np.uint8)
+        inside = np.zeros(len(codes) + 2, np.int8)
+        inside[1:-1] = ~self._space[codes]
+        change = np.diff(inside)
+        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        return self._stretches(self._values[codes], starts, ends)
+
+    def runs(self, words: np.ndarray, length: int) -> np.ndarray:
+        """The hash of each run of ``length`` words."""
+        starts = np.arange(max(len(words) - length + 1, 0))
+        return self._stretches(words, starts, starts + length) + np.uint64(length)
+
+
+def window_fingerprints(hashes: Hashes, words: np.ndarray) -> np.ndarray:
     """For each window the least hash of its pieces."""
-    least = sequence_hashes(words, PIECE)
+    least = hashes.runs(words, PIECE)
     width, need = 1, WINDOW - PIECE + 1
     while width < need:
         step = min(width, need - width)
@@ -124,15 +135,14 @@ def _fingerprints(rows: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        hashes = WordHashes()
+        hashes = Hashes()
         for frame in slices(frames, "text"):
             prints, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for text in frame["text"]:
-                words = split(text)
-                if len(words) < WINDOW:
+                hashed = hashes(text.encode())
+                if len(hashed) < WINDOW:
                     continue
-                hashed = hashes(words)
-                own = np.unique(window_fingerprints(hashed))
+                own = np.unique(window_fingerprints(hashes, hashed))
                 prints.append(own)
                 node = np.uint64(xxhash.xxh3_64_intdigest(hashed.tobytes())).astype(np.int64)
                 nodes.append(np.full(len(own), node))
@@ -168,17 +178,16 @@ def _windows(rows: DataFrame, marks: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = Hashes()
         for frame in slices(frames, "text"):
             found, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                words = split(text)
-                if len(words) < WINDOW:
+                hashed = hashes(text.encode())
+                if len(hashed) < WINDOW:
                     continue
-                hashed = hashes(words)
-                hit = in_bitmap(shared.value, window_fingerprints(hashed))
+                hit = in_bitmap(shared.value, window_fingerprints(hashes, hashed))
                 if hit.any():
-                    own = np.unique(sequence_hashes(hashed, WINDOW)[hit])
+                    own = np.unique(hashes.runs(hashed, WINDOW)[hit])
                     found.append(own)
                     ids.append(np.full(len(own), doc_id))
             yield pd.DataFrame({"window": np.concatenate(found).view(np.int64), "doc_id": np.concatenate(ids)})
@@ -233,7 +242,7 @@ def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
     joined = rows.join(roles, "doc_id").select("doc_id", "text", "follows", "wanted")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = Hashes()
         for frame in slices(frames, "text"):
             out = []
             for doc_id, text, follows, asked in frame.itertuples(index=False):
@@ -241,7 +250,7 @@ def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
                     out.append((int(follows), 1, doc_id, text))
                 if asked is not None and len(asked):
                     words = split(text)
-                    windows = sequence_hashes(hashes(words), WINDOW)
+                    windows = hashes.runs(hashes(text.encode()), WINDOW)
                     for r in asked:
                         wanted = np.asarray(r["windows"], np.int64).view(np.uint64)
                         out += [(r["shard"], 0, doc_id, p.decode()) for p in _passages(words, windows, wanted)]
