@@ -43,34 +43,28 @@ def slices(frames: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000)
             yield frame.iloc[start:]
 
 
-MOST_BITS = 1 << 29
+MOST_BITS = 1 << 28
 
 
 def bitmap(keys: DataFrame, column: str) -> np.ndarray:
     """One bit per residue of the keys (64-bit integers), for filters that may let too much pass.
 
-    It grows with the number of keys up to ``MOST_BITS``, 64 MB, so it may be sent to
-    all tasks; beyond that the filter only gets weaker. ``keys`` is read twice.
+    It grows with the number of keys up to ``MOST_BITS``, 32 MB, so it may be sent to
+    all tasks; beyond that the filter only gets weaker. Bits are combined in the map
+    tasks and reach the driver in words of 64. ``keys`` is read twice.
     """
-    bits, page, count = 1 << 20, 1 << 19, keys.count()
+    bits, count = 1 << 20, keys.count()
     while bits < 8 * count and bits < MOST_BITS:
         bits *= 2
-
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        marks = np.zeros(page, bool)
-        marks[frame["at"].to_numpy()] = True
-        return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(marks).tobytes()]})
-
     place = F.pmod(F.col(column), F.lit(bits))
-    paged = keys.select(F.floor(place / page).cast("long").alias("page"), F.pmod(place, F.lit(page)).alias("at"))
-    out = np.zeros((bits // page, page // 8), np.uint8)
-    for r in paged.distinct().groupBy("page").applyInPandas(run, "page long, bits binary").toLocalIterator():
-        out[r.page] = np.frombuffer(r.bits, np.uint8)
-    return out.reshape(-1)
+    bit = F.expr(f"shiftleft(1L, cast(pmod(`{column}`, 64) AS int))")
+    words = keys.groupBy(F.floor(place / 64).cast("long").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
 
 
 def in_bitmap(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys (unsigned) may be among those of the bitmap."""
-    at = keys & np.uint64(len(marks) * 8 - 1)
-    shift = np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)
-    return (marks[(at >> np.uint64(3)).astype(np.int64)] >> shift & 1).astype(bool)
+    at = keys & np.uint64(len(marks) * 64 - 1)
+    return (marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
