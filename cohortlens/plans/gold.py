@@ -12,6 +12,7 @@ from cohortlens.operators.joins import split_star_join, star_join
 from cohortlens.operators.rates import counts_by, rate
 
 KEY = "student_id"
+# The output columns of the tables.
 STUDENT_COLUMNS = [KEY, "gender", "region", "school_id", "grade_level", "program_type"]
 ACADEMIC_COLUMNS = [KEY, "performance_score", "academic_risk_flag"]
 ATTENDANCE_COLUMNS = [KEY, "attendance_pct", "attendance_risk_flag"]

@@ -257,6 +257,7 @@ def gold_retention_overview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_walkthrough(spark: SparkSession, sf: str) -> DataFrame:
+    # The output columns.
     columns = [
         "student_id",
         "grade_level",

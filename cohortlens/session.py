@@ -16,13 +16,11 @@ def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Scan and shuffle sizes for a run over ``input_bytes``.
 
     Scan splits grow from 128 MB to 1 GB so that a very large input keeps to about
-    100,000 scan tasks. Shuffle partitions aim at 512 MB of input each, at least
-    one per core and at most 32,000, because the number of shuffle blocks is the
-    product of both; the joins read few of the columns, and sort-merge joins spill.
-    AQE merges partitions that turn out small.
+    100,000 scan tasks. Shuffle partitions hold 512 MB of input each at any size, at
+    least one per core; AQE merges partitions that turn out small.
     """
     split = min(max(input_bytes // 100_000, 128 * MB), 1024 * MB)
-    partitions = min(max(-(-input_bytes // (512 * MB)), cores), max(cores, 32_000))
+    partitions = max(-(-input_bytes // (512 * MB)), cores)
     return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(partitions)}
 
 

@@ -15,7 +15,7 @@ def sizes(input_bytes, cores):
 def test_sizes():
     assert sizes(1 << 30, 8) == (128 * MB, 8)
     assert sizes(1 << 40, 64) == (128 * MB, 2048)
-    assert sizes(100 << 40, 8000) == (1024 * MB, 32_000)
+    assert sizes(100 << 40, 8000) == (1024 * MB, 204_800)
     assert sizes(0, 4) == (128 * MB, 4)
 
 
