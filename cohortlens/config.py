@@ -60,6 +60,7 @@ class Rules:
     alert_probability: float = 0.7
     alert_top_k: int = 5
     walkthrough_top_k: int = 20
+    trend_min_increase: float = 0.02
 
     # Two switches whose defaults give the established results.
     mean_over: str = "all"  # "valid": leave out-of-range scores out of the mean
@@ -74,6 +75,7 @@ class PipelineConfig:
     table_format: str = "parquet"  # "delta" where the session has it
     write_options: dict[str, str] = field(default_factory=dict)
     infer_schema: bool = False
+    csv_options: dict[str, str] = field(default_factory=dict)  # such as nullValue, dateFormat, mode
     rules: Rules = Rules()
 
     # Keys with about this many rows or more are split over several tasks in joins.
@@ -83,7 +85,7 @@ class PipelineConfig:
     silver_buckets: int | None = None
     # "multiply": repeated satellite keys multiply rows, as an SQL join does.
     # "fail": stop before the join and name the table.
-    on_repeated_key: str = "multiply"
+    on_repeated_key: str = "fail"
 
     train_fraction: float = 0.8
     seed: int = 42

@@ -99,6 +99,13 @@ def digest(alerts: DataFrame, profile: DataFrame, k: int = 5, advice: Sequence[s
     return total.unionByName(ranked).unionByName(actions)
 
 
+def institution_trend(students: DataFrame, retention: DataFrame, min_increase: float = 0.02) -> DataFrame:
+    """Dropout rate of all students per enrollment year, with an alert on a rise."""
+    status = retention.select("student_id", "retention_risk_flag")
+    known = students.select("student_id", "enrollment_year").join(status, "student_id")
+    return rate_trend(known, "enrollment_year", "retention_risk_flag", min_increase=min_increase)
+
+
 def rate_trend(df: DataFrame, period: str, event: str, by: Sequence[str] = (), min_increase: float = 0.02) -> DataFrame:
     """Event rate per period, its change to the period before, and an alert on a rise.
 

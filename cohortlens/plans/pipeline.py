@@ -7,9 +7,11 @@ tables, records one audit row per table and stops the run if a table failed.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import replace
+from types import MappingProxyType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import PipelineConfig
@@ -21,6 +23,7 @@ from cohortlens.sources.files import read_csv, stamp
 from cohortlens.sources.tables import create_database, save_table
 
 AUDIT_TABLE = "pipeline_audit_log"
+MALFORMED = "_malformed_record"
 
 
 class LayerFailed(RuntimeError):
@@ -43,15 +46,29 @@ class Pipeline:
         )
 
     def write_layer(
-        self, layer: str, tables: Mapping[str, Callable[[], DataFrame]], buckets: tuple[int, str] | None = None
+        self,
+        layer: str,
+        tables: Mapping[str, Callable[[], DataFrame]],
+        buckets: tuple[int, str] | None = None,
+        needs: Mapping[str, Iterable[str]] = MappingProxyType({}),
+        notes: Callable[[str], str | None] = lambda name: None,
     ) -> dict[str, int]:
-        """Writes the tables in order and audits each, a failed plan or write included."""
+        """Writes the tables in order and audits each, a failed plan or write included.
+
+        ``needs`` names the tables of the layer that a table is read from: if one of
+        them failed, the table is not run on what an earlier run left, but failed too.
+        ``notes`` gives the message for a table that was written.
+        """
         rows, first_error = [], None
         for name, build in tables.items():
+            if lost := [r.table_name for r in rows if r.run_status == audit.FAILED and r.table_name in needs.get(name, ())]:
+                message = f"not run: {', '.join(lost)} failed"
+                rows.append(audit.AuditRow(self.cfg.pipeline_name, layer, name, None, audit.FAILED, message))
+                continue
             row, error = audit.audited(
                 self.cfg.pipeline_name, layer, name, lambda b=build, n=name: self._save(b(), n, buckets)
             )
-            rows.append(row)
+            rows.append(replace(row, error_message=notes(name)) if error is None else row)
             first_error = first_error or error
         audit.write_audit_log(self.spark, self.cfg.table(AUDIT_TABLE), rows, self.cfg.table_format)
         if first_error is not None:
@@ -60,11 +77,22 @@ class Pipeline:
         return {r.table_name: r.record_count for r in rows}
 
     def bronze(self, raw_dir: str) -> dict[str, int]:
+        """Loads the five files; the audit row says how many records have a value of the wrong type."""
+        seen = {r.bronze: Observation() for r in RAW_FILES.values()}
+
         def load(raw) -> DataFrame:
-            source = read_csv(self.spark, f"{raw_dir.rstrip('/')}/{raw.csv}", raw.schema, self.cfg.infer_schema)
-            return stamp(source, self.cfg.source_system)
+            path, options = f"{raw_dir.rstrip('/')}/{raw.csv}", dict(self.cfg.csv_options)
+            if self.cfg.infer_schema:
+                return stamp(read_csv(self.spark, path, infer=True, **options), self.cfg.source_system)
+            source = read_csv(self.spark, path, raw.schema, **options, columnNameOfCorruptRecord=MALFORMED)
+            counted = source.observe(seen[raw.bronze], F.count(MALFORMED).alias("n"))
+            return stamp(counted.drop(MALFORMED), self.cfg.source_system)
 
-        return self.write_layer("bronze", {r.bronze: lambda r=r: load(r) for r in RAW_FILES.values()})
+        def malformed(name: str) -> str | None:
+            n = 0 if self.cfg.infer_schema else seen[name].get["n"]
+            return f"{n} malformed records" if n else None
+
+        return self.write_layer("bronze", {r.bronze: lambda r=r: load(r) for r in RAW_FILES.values()}, notes=malformed)
 
     def silver(self) -> dict[str, int]:
         def clean(entity: str) -> DataFrame:
@@ -103,6 +131,7 @@ class Pipeline:
                 ),
                 "gold_retention_overview": lambda: gold.retention_overview(tables["retention"], rules),
             },
+            needs={"gold_intervention_candidates": ["gold_student_risk_profile"]},
         )
 
     def predict(self) -> dict[str, int]:
@@ -134,7 +163,13 @@ class Pipeline:
                 "gold_alert_digest": lambda: alerts.digest(
                     self.read("gold_high_risk_alerts"), self.read("gold_student_risk_profile"), rules.alert_top_k
                 ),
+                "gold_institution_trend": lambda: alerts.institution_trend(
+                    self.read(RAW_FILES["students"].silver),
+                    self.read(RAW_FILES["retention"].silver),
+                    rules.trend_min_increase,
+                ),
             },
+            needs={"gold_alert_digest": ["gold_high_risk_alerts"]},
         )
 
 

@@ -370,7 +370,8 @@ def _cohort_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_institution_trend(spark: SparkSession, sf: str) -> DataFrame:
-    return alerts.rate_trend(_cohort_status(spark, sf), "enrollment_year", "retention_risk_flag")
+    tables = _silver(spark, sf, "students", "retention")
+    return alerts.institution_trend(tables["students"], tables["retention"], RULES.trend_min_increase)
 
 
 def alert_region_trend(spark: SparkSession, sf: str) -> DataFrame:

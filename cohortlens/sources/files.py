@@ -10,13 +10,29 @@ from pyspark.sql import types as T
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = False, **options: str
 ) -> DataFrame:
-    """CSV with a header row. ``infer`` costs one more pass over the files."""
+    """CSV with a header row. ``infer`` costs one more pass over the files.
+
+    Columns are found by their names in the header, whatever their order. Columns that
+    the schema does not name are left out, missing ones are an error, and so is a
+    file of a folder whose header differs from the others'.
+    ``columnNameOfCorruptRecord`` adds a column of that name with the line of each
+    record that has a value its type cannot hold; that value is NULL.
+    """
     reader = spark.read.option("header", True).options(**options)
     if infer:
         return reader.option("inferSchema", True).csv(path)
     if schema is None:
         raise ValueError("give a schema or ask for inference")
-    return reader.schema(schema).csv(path)
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    header = reader.csv(path).columns
+    if missing := [name for name in wanted.names if name not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    fields = [wanted[name] if name in wanted.names else T.StructField(name, T.StringType()) for name in header]
+    names = list(wanted.names)
+    if malformed := options.get("columnNameOfCorruptRecord"):
+        fields.append(T.StructField(malformed, T.StringType()))
+        names.append(malformed)
+    return reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(path).select(*names)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

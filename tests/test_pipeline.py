@@ -158,7 +158,7 @@ def test_hot_and_repeated_keys(spark, tmp_path):
     copies = tables["students"].where("student_id = 'S100007'").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(150)))).drop("i")
     tables["students"] = tables["students"].unionByName(copies)
     folder = land(tables, tmp_path)
-    cfg = PipelineConfig(database="hot_run", hot_key_rows=20)
+    cfg = PipelineConfig(database="hot_run", hot_key_rows=20, on_repeated_key="multiply")
     create_database(spark, cfg.database)
     run = Pipeline(spark, cfg)
     run.bronze(folder)
@@ -166,7 +166,7 @@ def test_hot_and_repeated_keys(spark, tmp_path):
     assert [tuple(r)[:2] for r in run.hot_keys(run.silver_tables()).collect()] == [("S100007", 8)]
     written = run.gold()
     assert written["gold_student_risk_profile"] == 450
-    plain = Pipeline(spark, PipelineConfig(database="hot_run"))
+    plain = Pipeline(spark, PipelineConfig(database="hot_run", on_repeated_key="multiply"))
     assert plain.hot_keys(plain.silver_tables()) is None
     kept = spark.table("hot_run.gold_student_risk_profile").persist()
     kept.count()
@@ -243,3 +243,59 @@ def test_csv_keeps_padding_and_nulls(spark, tmp_path):
 def test_manifest_lists_files(spark, clean_landing):
     files = manifest(spark, clean_landing).where(F.col("path").endswith(".csv")).collect()
     assert len(files) == 10 and all(r["length"] > 0 and r["modificationTime"] for r in files)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    df = spark.createDataFrame([(1.5, "a", "x"), (None, "b", "y")], "z double, x string, extra string")
+    write_csv(df, str(tmp_path / "t.csv"))
+    back = read_csv(spark, str(tmp_path / "t.csv"), "x string, z double")
+    assert sorted(back.collect()) == [("a", 1.5), ("b", None)]
+    with pytest.raises(ValueError, match="has no column w"):
+        read_csv(spark, str(tmp_path / "t.csv"), "x string, w int")
+
+
+def test_malformed_values_are_audited(spark, tmp_path):
+    tables = raw_tables(spark, 60)
+    shuffled = tables["academic"].select(*reversed(tables["academic"].columns))
+    bad = F.when(F.col("student_id") < "S100005", F.lit("abc")).otherwise(F.col("avg_score").cast("string"))
+    folder = land(tables | {"academic": shuffled.withColumn("avg_score", bad)}, tmp_path)
+    cfg = PipelineConfig(database="malformed_run")
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    run.bronze(folder)
+    n = tables["academic"].where("student_id < 'S100005'").count()
+    stored = run.read("bronze_academic_performance")
+    assert stored.where("avg_score IS NULL").count() >= n > 0 and "_malformed_record" not in stored.columns
+    kept = stored.where("student_id >= 'S100005'").select("student_id", "avg_score", "failed_subjects")
+    given = tables["academic"].where("student_id >= 'S100005'").selectExpr(
+        "student_id", "cast(avg_score AS double)", "cast(failed_subjects AS int)"
+    )
+    assert kept.exceptAll(given).isEmpty() and kept.count() == given.count()
+    log = {r["table_name"]: (r["run_status"], r["error_message"]) for r in run.read("pipeline_audit_log").collect()}
+    assert log.pop("bronze_academic_performance") == ("SUCCESS", f"{n} malformed records")
+    assert set(log.values()) == {("SUCCESS", None)}
+
+
+def test_a_table_does_not_run_on_a_failed_one(spark, dirty_run):
+    cfg = PipelineConfig(database="stale_run")
+    create_database(spark, cfg.database)
+    run = Pipeline(spark, cfg)
+    run.write_layer("gold", {"first": lambda: spark.range(3)})
+
+    def broken():
+        raise ValueError("broken plan")
+
+    with pytest.raises(LayerFailed, match="gold: first, second, third"):
+        later = {"second": lambda: run.read("first"), "third": lambda: run.read("second")}
+        run.write_layer("gold", {"first": broken, **later}, needs={"second": ["first"], "third": ["second"]})
+    log = run.read("pipeline_audit_log").where("run_status = 'FAILED'").collect()
+    assert {r["table_name"]: r["error_message"] for r in log} == {
+        "first": "broken plan", "second": "not run: first failed", "third": "not run: second failed"
+    }
+
+
+def test_the_run_writes_the_institution_trend(spark, dirty_run):
+    cfg, written = dirty_run
+    trend = spark.table(cfg.table("gold_institution_trend"))
+    assert trend.count() == written["gold_institution_trend"] > 1
+    assert trend.agg(F.sum("total")).first()[0] == written["silver_students"]
