@@ -15,7 +15,8 @@ its highest word and of a text that of its highest sentence; a logistic curve tu
 it into a score.
 
 Training sentences carry their document's label. In a toxic document most are
-harmless, so the fit goes in rounds: the words that score highest in each
+harmless, so the fit goes in rounds, seeded by the pieces whose document counts are the
+strongest evidence (log-likelihood ratio): the words that score highest in each
 toxic document are positive examples, words of clean documents are negative, the hardest
 first; the positive ones enter with disguised variants too. The sample is bounded by ``Fit.toxic`` and ``Fit.clean`` documents, chosen by
 a hash of their ids.
@@ -28,6 +29,7 @@ text scores 0; repeated or conflicting labels of a document count as they stand.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import sys
 import unicodedata
@@ -48,6 +50,8 @@ TRIPLES = 1 << 15
 REACH = 2 * (GAP + 1)
 _BEGIN = 30
 LIMIT = 4.0
+# Signed root of the log-likelihood ratio from which a word of both classes counts as a toxic one.
+SURE = 2.0
 # Digits read as letters.
 _LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
@@ -216,8 +220,19 @@ def _grams(word: str) -> set[str]:
     return {marked[i : i + 4] for i in range(max(1, len(marked) - 3))}
 
 
+def _evidence(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """Signed root of the log-likelihood ratio for a piece in so many documents: a piece seen once gives little."""
+    share = (toxic + clean) / (n_toxic + n_clean)
+    ratio = 0.0
+    for n, size in ((toxic, n_toxic), (clean, n_clean)):
+        for count, expected in ((n, size * share), (size - n, size * (1 - share))):
+            if count:
+                ratio += count * math.log(count / expected)
+    return math.copysign(math.sqrt(max(2 * ratio, 0.0)), toxic * n_clean - clean * n_toxic)
+
+
 def _round(
-    words: list[str], bags: list[np.ndarray], labels: np.ndarray, score: np.ndarray, first: bool, settings: Fit, chance
+    words: list[str], bags: list[np.ndarray], labels: np.ndarray, score: np.ndarray, told: np.ndarray, first: bool, settings: Fit, chance
 ) -> tuple[np.ndarray, float]:
     """One fit on the words that the scores so far suggest: weights of the triples, bias."""
     features = _Words(words)
@@ -228,9 +243,11 @@ def _round(
     least = [score[b].max() - 1 if first else min(score[b].max(), 0.5) for b in toxic]
     found = np.concatenate([none, *[b[score[b] >= m] for b, m in zip(toxic, least, strict=True)]])
     positive, times = np.unique(found, return_counts=True)
-    keep = ~np.isin(positive, clean)
+    # A word that clean documents hold too is positive only if it is far commoner in toxic ones.
+    keep = told[positive] | ~np.isin(positive, clean)
     if keep.any():
         positive, times = positive[keep], times[keep]
+    clean = np.setdiff1d(clean, positive[told[positive]])
     hard = clean[np.argsort(-score[clean], kind="stable")[: settings.negatives // 2]]
     rest = chance.permutation(clean)[: settings.negatives // 2]
     negative = np.union1d(hard, rest)
@@ -263,13 +280,17 @@ def fit_sample(texts: Sequence[str], toxic: Sequence[int], settings: Fit = Fit()
     if labels.all() or not labels.any():
         return Model(np.zeros(TRIPLES, np.float32), 0.0, 0.0, -np.inf)
     whole = [sorted({sys.intern(w.strip(".,;:!?\"'()").lower()) for w in _SPACES.split(t)} - {""}) for t in texts]
-    # First guess: the four-letter pieces that occur in toxic documents above all.
+    # First guess: the four-letter pieces that tell toxic documents best, by the evidence they give and not by their odds alone.
     seen = [Counter(), Counter()]
     for bag, label in zip(whole, labels, strict=True):
         seen[int(label)].update(set().union(*map(_grams, bag)))
-    n_clean, n_toxic = (~labels).sum(), labels.sum()
-    odds = {g: np.log((n + 0.5) / (n_toxic + 1)) - np.log((seen[0][g] + 0.5) / (n_clean + 1)) for g, n in seen[1].items()}
-    guess = lambda w: max(odds.get(g, -9.0) for g in _grams(w))
+    n_clean, n_toxic = int((~labels).sum()), int(labels.sum())
+    worth = {g: _evidence(n, seen[0][g], n_toxic, n_clean) for g, n in seen[1].items()}
+    guess = lambda w: max(worth.get(g, -9.0) for g in _grams(w))
+    held = [Counter(), Counter()]
+    for bag, label in zip(whole, labels, strict=True):
+        held[int(label)].update(bag)
+    tells = lambda w: held[1][w] > 1 and _evidence(held[1][w], held[0][w], n_toxic, n_clean) > SURE
     chance = np.random.default_rng(settings.seed)
     # Some words stand for a document: its likeliest, a few others, and later those that score highest.
     chosen = []
@@ -285,7 +306,8 @@ def fit_sample(texts: Sequence[str], toxic: Sequence[int], settings: Fit = Fit()
         at = {w: i for i, w in enumerate(words)}
         score = decisions(words, weights, bias) if turn else np.array([guess(w) for w in words])
         bags = [np.array(sorted(at[w] for w in own), np.int64) for own in chosen]
-        weights, bias = _round(words, bags, labels, score, turn == 0, settings, chance)
+        told = np.array([tells(w) for w in words], bool)
+        weights, bias = _round(words, bags, labels, score, told, turn == 0, settings, chance)
     best = np.array([decisions([t], weights, bias)[0] for t in texts])
     slope, offset = _logistic(np.clip(best, -LIMIT, LIMIT), labels.astype(float))
     return Model(weights, bias, slope, offset)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -75,3 +76,31 @@ def test_defined_results(frame):
     for one_class in (given.filter("toxic = 0"), given.filter("toxic > 1")):
         none = toxicity.fit(labelled, one_class)
         assert {r.score for r in toxicity.score(frame(docs, schema), none).collect()} == {0.0}
+
+
+def test_held_out_accuracy_over_all_languages(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = op4_string_kernel(spark, sf).filter("held_out").join(labels, "doc_id").join(docs, "doc_id").collect()
+    share = lambda toxic, english: np.mean([r.predicted for r in rows if r.toxic == toxic and (r.lang == "en") == english])
+    print({(t, e): share(t, e) for t in (0, 1) for e in (False, True)})
+    assert share(1, True) > 0.85 and share(0, True) < 0.02
+    assert share(1, False) > 0.4 and share(0, False) < 0.06
+
+
+def test_a_common_marker_weighs_more_than_a_piece_seen_once():
+    assert toxicity._evidence(50, 120, 352, 2500) > 2 * toxicity._evidence(1, 0, 352, 2500) > 0
+    assert toxicity._evidence(1, 120, 352, 2500) < 0
+    chance = random.Random(1)
+    word = lambda letters: "".join(chance.choice(letters) for _ in range(7))
+    texts, labels = [], []
+    for i in range(400):
+        words = [word("abcdefgh") for _ in range(20)]
+        if i % 8 == 0 or i % 12 == 1:  # all toxic documents hold the marked stem, few of the others
+            words.append("zorvi" + word("abcdefgh")[:2])
+        texts.append(" ".join(words))
+        labels.append(int(i % 8 == 0))
+    model = toxicity.fit_sample(texts, labels)
+    fresh = toxicity.decisions(["zorviqu", "abgehcf"], model.weights, model.bias)
+    assert fresh[0] > fresh[1] + 0.2
