@@ -1,7 +1,9 @@
 """HTML to text by layout: all visible text, with block spacing, lists and tables.
 
 A tokenizer feeds a tree builder that closes elements implicitly as browsers do
-(a ``li`` ends the ``li`` before it, a block ends a paragraph, a row ends a cell).
+(a ``li`` ends the ``li`` before it, a block ends a paragraph, a row ends a cell, what
+cannot stand in the head ends the head). A closing slash counts on ``svg`` and ``math``
+and in them only.
 The builder's open elements carry the visibility rules, and the renderer writes
 text as elements open and close, so nesting of any depth needs no recursion.
 
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import slices, text_or_empty
 
 # Fixed values from the HTML standard: element classes.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
     "head title script style template noscript iframe object video audio canvas svg math datalist".split()
@@ -54,6 +57,8 @@ PAD = 60
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*')*+)>""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"]*/$")
 _HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)""", re.I)
 _STYLE = re.compile(r"""(?:^|\s)style\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NONE = re.compile(r"display\s*:\s*none", re.I)
@@ -173,7 +178,8 @@ class Page:
                 if found[1]:
                     self._end(tag)
                     continue
-                self._start(tag, found[3])
+                if self._start(tag, found[3]):
+                    continue
                 if tag in RAW:
                     close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
                     stop = close.start() if close else size
@@ -207,9 +213,23 @@ class Page:
             while len(self._open) > depth:
                 self._close()
 
-    def _start(self, tag: str, attributes: str) -> None:
+    def _foreign(self, tag: str) -> bool:
+        """Whether an element that begins here is of a drawing or formula, not of the page."""
+        if tag in ("svg", "math"):
+            return True
+        if not (self._counts.get("svg") or self._counts.get("math")):
+            return False
+        bounds = ("svg", "math", "foreignobject", "annotation-xml", "desc")
+        return next(e.tag for e in reversed(self._open) if e.tag in bounds) in ("svg", "math")
+
+    def _start(self, tag: str, attributes: str) -> bool:
+        """Opens an element; true if its own tag closes it."""
         if tag in ("html", "body") and self._counts.get(tag):
-            return
+            return False
+        if tag not in IN_HEAD and tag not in ("html", "head") and self._open and self._open[-1].tag == "head":
+            self._close()
+        if attributes.endswith("/") and self._foreign(tag) and not _UNQUOTED_END.search(_QUOTED.sub('""', attributes)):
+            return True
         if tag in ENDS_P and self._counts.get("p"):
             self._end_implied({"p"}, {"table", "td", "th", "caption", "button", "object"})
         if tag in IMPLIED and any(self._counts.get(t) for t in IMPLIED[tag][0]):
@@ -221,10 +241,11 @@ class Page:
         if tag in VOID:
             if not (element.gone or element.unseen):
                 self._void(tag)
-            return
+            return False
         self._open.append(element)
         self._counts[tag] = self._counts.get(tag, 0) + 1
         self._opened(element)
+        return False
 
     def _end(self, tag: str) -> None:
         if tag in VOID or not self._counts.get(tag):
@@ -249,6 +270,9 @@ class Page:
 
     def _text(self, raw: str) -> None:
         top = self._open[-1] if self._open else None
+        if top is not None and top.tag == "head" and _SPACE.sub("", raw):
+            self._close()
+            top = self._open[-1] if self._open else None
         if top is not None and (top.gone or top.unseen):
             return
         text = raw if top is not None and top.tag == "xmp" else html.unescape(raw) if "&" in raw else raw

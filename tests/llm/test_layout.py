@@ -69,3 +69,17 @@ def test_defined_rows(frame):
     rows = extract(frame([(1, None, "x"), (1, "", "x"), (None, "<p>a", "x")], "page_id long, html string, text string"))
     assert sorted((r.page_id or 0, r.text) for r in rows.collect()) == [(0, "a"), (1, ""), (1, "")]
     assert extract(frame([], "page_id long, html string")).count() == 0
+
+
+def test_head_ends_with_what_cannot_stand_in_it():
+    assert render("<html><head><title>T</title><h1>Hi</h1><p>text")[0] == "Hi\n\ntext"
+    assert render("<head> <meta charset=x><link href=y><style>p{}</style>\n words<p>more</head>")[0] == "words\n\nmore"
+    assert render("<head><title>T</title><script>1<2</script><template><p>no</template> </head><body>yes")[0] == "yes"
+    assert render("<head><img src=x>seen")[0] == "seen"
+
+
+def test_a_closing_slash_ends_drawings_and_formulas():
+    assert render("<p>a <svg width='1'/>b <math/>c</p>d")[0] == "a b c\n\nd"
+    assert render('<div><svg><title/><style/><path d="M0=1"/>no<svg/>no</svg>yes</div>')[0] == "yes"
+    assert render("<div><svg width=1/>no</svg>yes<div/>in</div>")[0] == "yes\nin"
+    assert render("<svg><foreignObject><div/><p>no</p></div>no</foreignObject></svg>yes")[0] == "yes"
