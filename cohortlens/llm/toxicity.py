@@ -10,11 +10,13 @@ signs between them, counts as one word.
 A Nyström map over landmark words turns the kernel into a short feature vector, on
 which a linear machine with squared hinge loss is fitted. As map and machine are
 linear in the triples, the fitted model is one weight per triple, and scoring a
-text is a table lookup per position. The decision value of a sentence is that of
-its highest word and of a text that of its highest sentence; a logistic curve turns
-it into a score.
+text is a table lookup per position. Kernel and machine work on single words, not on
+sentences as the dealt method does: no triple runs over a word gap, and the decision
+value of a text is that of its highest word. So an insult of several harmless words,
+negation and the number of insults have no effect. A logistic curve turns the value
+into a score.
 
-Training sentences carry their document's label. In a toxic document most are
+Words are taken to carry their document's label. In a toxic document most are
 harmless, so the fit goes in rounds, seeded by the pieces whose document counts are the
 strongest evidence (log-likelihood ratio): the words that score highest in each
 toxic document are positive examples, words of clean documents are negative, the hardest
