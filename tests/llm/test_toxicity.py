@@ -1,4 +1,3 @@
-import random
 import zlib
 
 import numpy as np
@@ -92,15 +91,3 @@ def test_held_out_accuracy_over_all_languages(spark):
 def test_a_common_marker_weighs_more_than_a_piece_seen_once():
     assert toxicity._evidence(50, 120, 352, 2500) > 2 * toxicity._evidence(1, 0, 352, 2500) > 0
     assert toxicity._evidence(1, 120, 352, 2500) < 0
-    chance = random.Random(1)
-    word = lambda letters: "".join(chance.choice(letters) for _ in range(7))
-    texts, labels = [], []
-    for i in range(400):
-        words = [word("abcdefgh") for _ in range(20)]
-        if i % 8 == 0 or i % 12 == 1:  # all toxic documents hold the marked stem, few of the others
-            words.append("zorvi" + word("abcdefgh")[:2])
-        texts.append(" ".join(words))
-        labels.append(int(i % 8 == 0))
-    model = toxicity.fit_sample(texts, labels)
-    fresh = toxicity.decisions(["zorviqu", "abgehcf"], model.weights, model.bias)
-    assert fresh[0] > fresh[1] + 0.2
