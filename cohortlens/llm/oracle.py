@@ -86,4 +86,102 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLE = {"op1_warc": OP1, "op5_quality_rules": OP5, "op7_chat_format": OP7}
+# The roles as a finite automaton: E nothing yet, S system, U an open user turn, A answered.
+OP11 = r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+-- crc32 bit by bit: the remainder after each byte
+bytes AS (SELECT id, 1 AS i, 4294967295::BIGINT AS crc FROM (SELECT DISTINCT id FROM named)
+  UNION ALL
+  SELECT id, i + 1, list_reduce([xor(crc, ascii(id[i])::BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+  FROM bytes WHERE i <= length(id)),
+kinds AS (SELECT id, xor(crc, 4294967295::BIGINT) % 20 AS kind FROM bytes WHERE i = length(id) + 1),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM named JOIN kinds USING (id)),
+ordered AS (
+  SELECT conv_id, turn, role, text, substr(role, 1, 1) AS initial,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS stripped,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN stripped = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+                 WHEN right(stripped, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM ordered),
+inserts(f, via, k, lines) AS (VALUES
+  ('E', 'E', 0, ''), ('E', 'U', 1, chr(10) || 'user:'), ('E', 'A', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  ('S', 'S', 0, ''), ('S', 'U', 1, chr(10) || 'user:'), ('S', 'A', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  ('U', 'U', 0, ''), ('U', 'A', 1, chr(10) || 'assistant:'), ('A', 'A', 0, ''), ('A', 'U', 1, chr(10) || 'user:')),
+shifts(via, initial, t) AS (VALUES ('E', 's', 'S'), ('E', 'u', 'U'), ('S', 'u', 'U'), ('A', 'u', 'U'), ('U', 'a', 'A')),
+edits AS (
+  SELECT via, 'D' AS edit, NULL AS initial, via AS t FROM (SELECT DISTINCT via FROM inserts)
+  UNION ALL SELECT via, 'K', initial, t FROM shifts
+  UNION ALL SELECT via, 'R', initial, t FROM shifts WHERE initial <> 's'),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 'E' AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} AS b FROM conversations
+  UNION ALL
+  SELECT best.conv_id, m.i, t AS state, min({
+      'cost': (b.cost + 2 * k + CASE edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+               + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END)::BIGINT,
+      'audit': b.audit || repeat('I', k) || edit,
+      'lines': b.lines || inserts.lines || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+               ELSE chr(10) || CASE edits.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text END}) AS b
+  FROM best JOIN marked m ON m.conv_id IS NOT DISTINCT FROM best.conv_id AND m.i = best.i + 1
+  JOIN inserts ON f = state JOIN edits USING (via)
+  WHERE (edit = 'D' OR fault IN ('', 'truncated')) AND (edit <> 'K' OR edits.initial = m.initial)
+  GROUP BY best.conv_id, m.i, t),
+counts AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id),
+ended AS (
+  SELECT best.conv_id, min({'cost': b.cost + 2 * k, 'audit': b.audit || repeat('I', k), 'lines': b.lines || inserts.lines}) AS e
+  FROM best LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM best.conv_id JOIN inserts ON f = state
+  WHERE best.i = coalesce(c.rows, 0) AND via IN ('E', 'A') GROUP BY best.conv_id)
+SELECT ended.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.cost::BIGINT AS cost, e.audit AS audit,
+       sha256(substr(e.lines, 2)) AS repaired_sha256
+FROM ended LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, ws[i : i + k - 1] AS p
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM split, range(1, 6) t(k))),
+counts AS (SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, x.f AS l, y.f AS r, n, 1000 * c.f::HUGEINT * n // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM counts WHERE len(p) > 1) c
+  JOIN counts x ON x.lang = c.lang AND x.p = c.p[1 : k]
+  JOIN counts y ON y.lang = c.lang AND y.p = c.p[k + 1 : len(c.p)]
+  JOIN sizes s ON s.lang = c.lang),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT lang, f, unnest([p[1 : len(p) - 1], p[2 : len(p)]]) AS p FROM counts WHERE len(p) > 2),
+kept AS (
+  SELECT s.*, array_to_string(s.p, ' ') AS phrase FROM scored s
+  ANTI JOIN inside i ON i.lang = s.lang AND i.p = s.p AND i.f >= s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+ORACLE = {
+    "op1_warc": OP1,
+    "op5_quality_rules": OP5,
+    "op7_chat_format": OP7,
+    "op11_role_repair": OP11,
+    "op13_setm": OP13,
+}

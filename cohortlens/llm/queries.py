@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import bpe, chat, ctph, layout, mixing, repeats, rules, shingle_join, toxicity, warc
+from cohortlens.llm.collocations import op13_setm
 from cohortlens.llm.common import table
+from cohortlens.llm.packing import op12_best_fit
+from cohortlens.llm.role_repair import op11_role_repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -95,5 +98,8 @@ QUERIES: dict[str, Query] = {
         op8_html_layout,
         op9_byte_bpe,
         op10_shingle_join,
+        op11_role_repair,
+        op12_best_fit,
+        op13_setm,
     )
 }

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import bitmap, in_bitmap, slices, text_or_empty, words_column
-from cohortlens.operators.skew import lookup_join
+from cohortlens.llm.skew import lookup_join
 from cohortlens.sources.tables import written
 
 WINDOW, PIECE, BLOCK = 13, 5, 7

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import text_or_empty
-from cohortlens.operators.skew import lookup_join
+from cohortlens.llm.skew import lookup_join
 from cohortlens.session import shared_folder
 from cohortlens.sources.tables import written
 
