@@ -20,12 +20,14 @@ import struct
 from collections.abc import Iterator, Mapping
 from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import slices, text_or_empty
+from cohortlens.llm.common import arrow_slices, slices, text_or_empty
 
 # Field numbers and wire types of the public sentencepiece schema.
 NORMAL, UNKNOWN, BPE = 1, 2, 2
@@ -177,3 +179,35 @@ def round_trip(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, text:
         return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
 
     return _mapped(docs, "n_tokens long, ids_sha256 string, decoded_sha256 string", ranks, pattern, text, row, keep=False)
+
+
+def encode_checked(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` without its text, with ``ids`` (array of int), ``n_tokens`` and ``round_trip``: whether
+    the ids decode to the text's bytes.
+
+    One pass in one worker: ids are held as packed 32-bit integers, a slice of texts at a time,
+    and the decoded bytes are compared where they are made.
+    """
+    added = T._parse_datatype_string("ids array<int>, n_tokens long, round_trip boolean")
+    model = docs.sparkSession.sparkContext.broadcast(model_bytes(ranks))
+    kept = docs.drop(text, *[f.name for f in added])
+    schema = T.StructType([*kept.schema, *added])
+    names = kept.columns
+    given = docs.select(*[F.col(c) for c in names], text_or_empty(text).alias("_bpe_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(model.value, pattern)
+        for whole in batches:
+            for batch in arrow_slices(whole, "_bpe_text"):
+                made, same = [np.zeros(0, np.int32)], []
+                for value in batch.column("_bpe_text"):
+                    ids = codec.encode(value.as_py())
+                    same.append(codec.decode(ids) == value.as_buffer().to_pybytes())
+                    made.append(np.array(ids, np.int32))
+                sizes = np.array([len(ids) for ids in made], np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(np.concatenate(made)))
+                columns = [batch.column(c) for c in names]
+                columns += [ids, pa.array(sizes[1:].astype(np.int64)), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids", "n_tokens", "round_trip"])
+
+    return given.mapInArrow(run, schema)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,16 @@ def slices(frames: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000)
             yield frame.iloc[start:]
 
 
+def arrow_slices(batch: pa.RecordBatch, column: str, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about ``size`` bytes of a text column, one row at least."""
+    ends = np.cumsum([0, *(len(t.as_buffer()) for t in batch.column(column))])
+    start = 0
+    while start < batch.num_rows:
+        stop = max(bisect_left(ends, ends[start] + size) - 1, start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 MOST_BITS = 1 << 28
 
 

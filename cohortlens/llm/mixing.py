@@ -8,7 +8,7 @@ aggregation over a compact table and one expression per document. DataFrame
 functions only, no Python on rows.
 
 Writing q_k for the share of tokens in domain k and S_k for its expected share under
-the rates, a step is rate <- max(0, rate - sum_k p_k (S_k - t_k) / q_k). This is the
+the rates, a step is rate <- max(least, rate - sum_k p_k (S_k - t_k) / q_k), least = 0 or 1. This is the
 gradient step of 1/2 sum_k (S_k - t_k)^2 / q_k in the metric of tokens; its largest
 curvature is 1, so the step length is 1.
 
@@ -22,6 +22,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -35,7 +36,10 @@ from cohortlens.sources.tables import written
 @dataclass(frozen=True)
 class Mixing:
     """``targets``: weight of each domain, scaled to sum 1. ``budget``: expected tokens as a
-    multiple of the given ones; None takes the least for which no domain has to shrink.
+    multiple of the given ones; None takes the least for which no domain has to shrink, and no rate
+    is below 1 then, so that every document stays. Targets that no rates meet within
+    ``tolerance`` are approached in least squares, with a warning; not to come to rest within
+    ``steps`` is an error.
     The classifier is fitted on at most ``fit_rows`` labelled rows, chosen by a hash of
     their ids, and knows their ``vocabulary`` most frequent words; ``evidence`` bounds the
     number of words that a posterior may rest on, so that long texts stay soft."""
@@ -60,7 +64,8 @@ class Mixing:
 
 
 def _words(text: Column) -> Column:
-    return words_column(F.lower(text))
+    """The runs of letters in lower case: marks between words say nothing about a domain."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), lambda w: w != F.lit(""))
 
 
 def classifier(docs: DataFrame, labels: DataFrame, mixing: Mixing) -> tuple[DataFrame, list[float]]:
@@ -85,12 +90,17 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: list[float], mixing: M
     """Rows (doc_id, text_key, n_rows, n_tokens, p): one per distinct document and text."""
     k = range(len(priors))
     text = text_or_empty()
-    keyed = docs.select("doc_id", F.xxhash64(text).alias("text_key"), _words(text).alias("_words"))
+    keyed = docs.select(
+        "doc_id",
+        F.xxhash64(text).alias("text_key"),
+        F.size(words_column(text)).cast("long").alias("n_tokens"),
+        _words(text).alias("_words"),
+    )
     # The empty word marks a row; it also keeps texts without words.
     marked = keyed.select(
         "doc_id",
         "text_key",
-        F.size("_words").cast("long").alias("n_tokens"),
+        "n_tokens",
         F.explode(F.concat(F.array(F.lit("")), F.col("_words"))).alias("word"),
     )
     joined = marked.join(F.broadcast(model), "word", "left")
@@ -113,15 +123,15 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: list[float], mixing: M
     )
 
 
-def _rate(start: float, steps: list[list[float]]) -> Column:
-    """The rate after the steps so far, each a list of (S_k - t_k) / q_k."""
+def _rate(start: float, steps: list[list[float]], least: float) -> Column:
+    """The rate after the steps so far, each a list of (S_k - t_k) / q_k, projected on ``least`` or more."""
     if not steps:
         return F.lit(start)
     history = F.array(*[F.array(*[F.lit(x) for x in step]) for step in steps])
 
     def move(rate: Column, step: Column) -> Column:
         along = sum((F.get("p", F.lit(i)) * F.get(step, F.lit(i)) for i in range(len(steps[0]))), F.lit(0.0))
-        return F.greatest(F.lit(0.0), rate - along)
+        return F.greatest(F.lit(least), rate - along)
 
     return F.aggregate(history, F.lit(start), move)
 
@@ -141,17 +151,26 @@ def rates(docs: DataFrame, labelled: DataFrame, labels: DataFrame, mixing: Mixin
     if not total:
         return soft.withColumn("rate", F.lit(1.0))
     share = [g / total for g in given]
-    budget = mixing.budget
+    budget, least = mixing.budget, 0.0
     if budget is None:
+        least = 1.0
         budget = max(s / w for s, w in zip(share, mixing.weights, strict=True) if w > 0)
     targets = [budget * w for w in mixing.weights]
     steps: list[list[float]] = []
-    for _ in range(mixing.steps):
-        got = [x / total for x in soft.agg(mass(_rate(budget, steps))).first()[0]]
-        if max(abs(g - t) for g, t in zip(got, targets, strict=True)) <= mixing.tolerance * budget:
+    before = None
+    while True:
+        got = [x / total for x in soft.agg(mass(_rate(budget, steps, least))).first()[0]]
+        apart = lambda other: max(abs(x - y) for x, y in zip(got, other, strict=True)) / budget  # noqa: B023, E731
+        if apart(targets) <= mixing.tolerance:
+            break
+        if before and apart(before) <= mixing.tolerance / 100:
+            warnings.warn(f"nearest to the targets {targets} of {mixing.domains} is {got}", stacklevel=2)
             break
+        if len(steps) == mixing.steps:
+            raise ValueError(f"targets {targets} of {mixing.domains}: still moving after {mixing.steps} steps, at {got}")
+        before = got
         steps.append([(g - t) / s if s > 0 else 0.0 for g, t, s in zip(got, targets, share, strict=True)])
-    return soft.withColumn("rate", _rate(budget, steps))
+    return soft.withColumn("rate", _rate(budget, steps, least))
 
 
 def draw(docs: DataFrame, rated: DataFrame) -> DataFrame:

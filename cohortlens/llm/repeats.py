@@ -48,8 +48,11 @@ NO_ID = (1 << 63) - 1
 class Hashes:
     """64-bit hashes of words and of runs of words, in a few numpy passes over a text.
 
-    The hash of a stretch is a difference of two prefix sums of weighted values, made
-    independent of its place by the inverse weight (odd weights have one modulo 2^64).
+    A word's hash sums its bytes' values, each times an own number for its place in the word.
+    These numbers follow no rule that texts could match (powers of one number would: there
+    are words of 1,024 letters and more that are equal under any of them). The hash of a run of
+    words, 13 at most, is a difference of two prefix sums over word hashes weighted by powers,
+    made independent of its place by the inverse weight (odd weights have one modulo 2^64).
     """
 
     _STEP = 0x9E3779B97F4A7C15
@@ -58,22 +61,25 @@ class Hashes:
         self._values = np.random.default_rng(64).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         self._space = np.zeros(256, bool)
         self._space[[32, 9, 10, 11, 12, 13]] = True
+        self._places = np.zeros(0, np.uint64)
         self._grow(1 << 16)
 
     def _grow(self, size: int) -> None:
         for name, step in (("_weight", self._STEP), ("_inverse", pow(self._STEP, -1, 1 << 64))):
             setattr(self, name, np.cumprod(np.full(size, step, np.uint64)))
 
-    def _stretches(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(values) > len(self._weight):
-            self._grow(2 * len(values))
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._weight[: len(values)], out=sums[1:])
-        out = (sums[ends] - sums[starts]) * self._inverse[starts]
-        out ^= out >> np.uint64(32)
-        out *= np.uint64(0xBF58476D1CE4E5B9)
-        out ^= out >> np.uint64(29)
-        return out
+    @staticmethod
+    def _mixed(x: np.ndarray) -> np.ndarray:
+        x = x ^ (x >> np.uint64(32))
+        x = x * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(29))
+
+    def _place_numbers(self, size: int) -> np.ndarray:
+        """An odd number for each place in a word, from a mix of the place."""
+        if size > len(self._places):
+            at = np.arange(1, max(size, 2 * len(self._places), 64) + 1, dtype=np.uint64) * np.uint64(self._STEP)
+            self._places = self._mixed(self._mixed(at) * np.uint64(0x94D049BB133111EB)) | np.uint64(1)
+        return self._places
 
     def __call__(self, data: bytes) -> np.ndarray:
         """The hash of each word of a text in UTF-8."""
@@ -84,7 +90,19 @@ class Hashes:
         starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
         if not len(starts):
             return np.zeros(0, np.uint64)
-        return self._stretches(self._values[codes], starts, ends)
+        sizes = ends - starts
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
+        numbers = self._place_numbers(int(sizes.max()))
+        weighted = self._values[codes[inside[1:-1].view(bool)]] * numbers[place]
+        return self._mixed(np.add.reduceat(weighted, first))
+
+    def _stretches(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(values) > len(self._weight):
+            self._grow(2 * len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self._weight[: len(values)], out=sums[1:])
+        return self._mixed((sums[ends] - sums[starts]) * self._inverse[starts])
 
     def runs(self, words: np.ndarray, length: int) -> np.ndarray:
         """The hash of each run of ``length`` words."""

@@ -63,8 +63,9 @@ def test_mix_meets_the_targets_and_loses_no_document(steps):
         copies[r.doc_id] += 1
     total = sum(tokens.values())
     for lang, share in corpus_pipeline.TARGETS.items():
-        assert abs(tokens[lang] / total - share) < 0.03
-    assert len(copies) > 0.97 * steps["repeated_passages"].count() and max(copies.values()) <= 4
+        assert abs(tokens[lang] / total - share) < 0.02
+    given = {r.doc_id for r in steps["repeated_passages"].select("doc_id").collect()}
+    assert copies.keys() == given and max(copies.values()) <= 4
 
 
 def test_tokens_are_those_of_the_library(steps):
@@ -99,5 +100,5 @@ def test_run_is_the_chain_of_stages(spark, steps):
 def test_rates_of_the_mix_are_positive(spark, steps):
     settings = mixing.Mixing(targets=corpus_pipeline.TARGETS, budget=None)
     rated = mixing.rates(steps["repeated_passages"], steps[""], table(spark, SF, "labels"), settings)
-    assert all(r.rate > 0.5 and math.isfinite(r.rate) for r in rated.collect())
+    assert all(r.rate >= 1 and math.isfinite(r.rate) for r in rated.collect())
     assert repeats.WINDOW == 13
