@@ -78,10 +78,10 @@ class PipelineConfig:
     csv_options: dict[str, str] = field(default_factory=dict)  # such as nullValue, dateFormat, mode
     rules: Rules = Rules()
 
-    # Keys with about this many rows or more are split over several tasks in joins.
+    # Keys with more rows than this in a table, or pairs in a join, are split over several tasks.
     hot_key_rows: int = 1_000_000
-    # Silver tables are written in this many buckets by key, unless a key is hot.
-    # The four gold joins then need no exchange. Needs a format with buckets.
+    # Silver tables are written in this many buckets by key, but for those with a hot key.
+    # Gold joins of bucketed tables need no exchange. Needs a format with buckets.
     silver_buckets: int | None = None
     # "multiply": repeated satellite keys multiply rows, as an SQL join does.
     # "fail": stop before the join and name the table.

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators.ranges import previous
 from cohortlens.operators.rates import breakdown, counts_by, group_count, rate
 
 # The advice lines of the digest.
@@ -109,11 +110,14 @@ def institution_trend(students: DataFrame, retention: DataFrame, min_increase: f
 def rate_trend(df: DataFrame, period: str, event: str, by: Sequence[str] = (), min_increase: float = 0.02) -> DataFrame:
     """Event rate per period, its change to the period before, and an alert on a rise.
 
-    The window sees one row per period (and group), never the base rows.
+    The periods of a group are a window over aggregated rows. Without groups the periods are
+    cut into ranges, so that any number of them (one per timestamp, say) is no single task's work.
     """
     rates = counts_by(df, [*by, period], "total", {"events": F.col(event)}).withColumn("rate", rate("events", "total"))
-    order = Window.partitionBy(*[F.col(c) for c in by] or [F.lit(1)]).orderBy(period)
-    change = F.round(F.col("rate") - F.lag("rate").over(order), 4)
-    return rates.withColumn("rate_change", change).withColumn(
-        "alert", F.coalesce(F.col("rate_change") >= min_increase, F.lit(False))
-    )
+    if by:
+        order = Window.partitionBy(*by).orderBy(period)
+        before = rates.withColumn("_before", F.lag("rate").over(order))
+    else:
+        before = previous(rates, [period], {"_before": "rate"})
+    changed = before.withColumn("rate_change", F.round(F.col("rate") - F.col("_before"), 4)).drop("_before")
+    return changed.withColumn("alert", F.coalesce(F.col("rate_change") >= min_increase, F.lit(False)))

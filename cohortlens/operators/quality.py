@@ -1,12 +1,16 @@
-"""Profiling, key checks, rejected rows and controlled error injection."""
+"""Profiling, key checks, orphans, repeats, rejected rows and controlled error injection."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.operators.joins import split_star_join
+from cohortlens.sources.tables import written
+
 
 class RepeatedKeyError(ValueError):
     """A table that must hold one row per key holds several."""
@@ -101,6 +105,83 @@ def assert_unique_key(df: DataFrame, key: str, name: str) -> DataFrame:
     return df
 
 
+def key_presence(tables: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """Per key, blanks around it stripped: in which tables it is, its rows, and how many of them are padded.
+
+    Padded keys join with nothing where only one side is stripped. One aggregation over
+    the key columns of all tables: no table is joined or exchanged by itself.
+    """
+    own = F.col(key)
+    keys = [
+        df.select(F.trim(own).alias(key), (own != F.trim(own)).alias("padded"), F.lit(name).alias("found"))
+        for name, df in tables.items()
+    ]
+    order = F.array(*[F.lit(name) for name in tables])
+    return (
+        reduce(DataFrame.unionAll, keys)
+        .groupBy(key)
+        .agg(
+            F.collect_set("found").alias("found"),  # at most one entry per table
+            F.count("*").alias("rows"),
+            F.count_if("padded").alias("padded_rows"),
+        )
+        .withColumn("found", F.array_join(F.array_intersect(order, F.col("found")), ","))
+    )
+
+
+def orphans(tables: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """How many keys are in which tables: ``(found_in, keys, rows, padded_keys, padded_rows)``.
+
+    A row for all tables and one for each combination that lacks some. NULL keys, which join
+    with nothing, are under ``no key``.
+    """
+    found = F.when(F.col(key).isNull(), "no key").otherwise(F.col("found")).alias("found_in")
+    return key_presence(tables, key).groupBy(found).agg(
+        F.count("*").alias("keys"),
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("padded_rows") > 0).alias("padded_keys"),
+        F.sum("padded_rows").alias("padded_rows"),
+    )
+
+
+def resolve_repeats(df: DataFrame, key: str, best: Mapping[str, Column], hot_rows: int = 1_000_000) -> DataFrame:
+    """All rows with ``repeats`` (rows of the key), ``keep`` and ``reason``: one row of each key is kept.
+
+    ``best`` names the criteria in order; the row with the larger value wins, NULL loses.
+    Rows equal in all of them are told apart by their place. The reason is ``only``,
+    ``winner``, ``no key`` (kept) or, of a loser, the first criterion it lost by,
+    ``equal`` if none.
+
+    The winner of a key is one aggregate, combined in the map tasks: a hot key's rows do
+    not meet in one task. Losers see their winner through a join that splits hot keys.
+    """
+    names = [f"_by_{name}" for name in best]
+    rows = written(
+        df.withColumns(dict(zip(names, best.values(), strict=True))).withColumn("_place", F.monotonically_increasing_id())
+    )
+    order = F.struct(*names, -F.col("_place"))
+    won = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count("*").alias("repeats"), F.max_by(F.struct("_place", *names), order).alias("_won")
+    )
+    won = written(won)
+    hot = written(
+        won.where(F.col("repeats") > hot_rows).select(
+            key, F.col("repeats").alias("rows"), F.lit(1).alias("winner"), F.lit(float(max(hot_rows, 1))).alias("_rows")
+        )
+    )
+    joined = split_star_join({"rows": rows, "winner": won}, key, "left", hot)
+    is_first = F.col("_place") == F.col("_won._place")
+    lost = [F.when(~F.col(c).eqNullSafe(F.col(f"_won.{c}")), F.lit(name)) for name, c in zip(best, names, strict=True)]
+    reason = (
+        F.when(F.col(key).isNull(), "no key")
+        .when(F.col("repeats") == 1, "only")
+        .when(is_first, "winner")
+        .otherwise(F.coalesce(*lost, F.lit("equal")))
+    )
+    keep = F.coalesce(is_first, F.lit(True)).alias("keep")
+    return joined.select(*df.columns, F.coalesce("repeats", F.lit(1)).alias("repeats"), keep, reason.alias("reason"))
+
+
 def rejects(df: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
     """Rows a filter would drop, with the first rule each one breaks.
 

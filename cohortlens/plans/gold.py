@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.config import Rules
 from cohortlens.functions.cleaning import is_true
 from cohortlens.functions.scoring import band_below, last_label, score_level, weighted_points
-from cohortlens.operators.joins import split_star_join, star_join
+from cohortlens.operators.joins import pairs_of, split_star_join, star_join
 from cohortlens.operators.rates import counts_by, rate
 
 KEY = "student_id"
@@ -95,7 +95,10 @@ def intervention_candidates(profile: DataFrame, retention: DataFrame, hot: DataF
     chosen = profile.where("intervention_required").select(
         KEY, "grade_level", "region", "risk_score", "risk_level", "primary_risk_driver", "intervention_required"
     )
-    return _join({"students": chosen, "retention": retention.select(KEY, "retention_status")}, "inner", hot)
+    if hot is not None:  # the profile holds a key as often as all its tables together make it
+        tables = [t for t in hot.columns if t not in (KEY, "_rows")]
+        hot = hot.withColumn("profile", pairs_of(tables))
+    return _join({"profile": chosen, "retention": retention.select(KEY, "retention_status")}, "inner", hot)
 
 
 def retention_overview(retention: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -148,6 +148,59 @@ features AS (
 """
 
 
+def _bucket(salt: str) -> str:
+    return f"(('0x' || substr(md5(student_id || ':{salt}'), 1, 8))::BIGINT % 10000)"
+
+
+# Terms of the model that no other term repeats: the risk score is a sum of the flags.
+_TERMS = ["1.0", "attendance_pct / 100", "performance_score / 100", "grade_level / 10.0", "academic_risk_flag", "attendance_risk_flag", "socio_economic_risk_flag"]
+_NEWTON_STEPS = 8
+
+
+def _newton() -> str:
+    """The fitted logistic regression by Newton's method: CTEs up to ``beta``, one row with b0, b1, ..."""
+    k = range(len(_TERMS))
+    line = " + ".join(f"b{i} * x{i}" for i in k)
+    terms = ", ".join(f"({t})::DOUBLE AS x{i}" for i, t in enumerate(_TERMS))
+    out = [
+        f"x AS MATERIALIZED (SELECT student_id, label, {_bucket('42')} < 8000 AS is_train, {terms} FROM features)",
+        "beta_0 AS MATERIALIZED (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in k) + ")",
+    ]
+    for step in range(_NEWTON_STEPS):
+        sums = [f"sum(p * (1 - p) * x{i} * x{j}) AS a{i}_{j}" for i in k for j in k]
+        sums += [f"sum(x{i} * (label - p)) AS r{i}" for i in k]
+        rows = f"SELECT x.*, 1 / (1 + exp(-({line}))) AS p FROM x, beta_{step} WHERE is_train"
+        out.append(f"system_{step}_0 AS MATERIALIZED (SELECT {', '.join(sums)} FROM ({rows}))")
+        for v in k:  # eliminate variable v from all other equations
+            cells = []
+            for i in k:
+                factor = f"(a{i}_{v} / a{v}_{v})"
+                keep = i == v
+                cells += [f"a{i}_{j}" if keep else f"a{i}_{j} - {factor} * a{v}_{j} AS a{i}_{j}" for j in k]
+                cells.append(f"r{i}" if keep else f"r{i} - {factor} * r{v} AS r{i}")
+            out.append(f"system_{step}_{v + 1} AS MATERIALIZED (SELECT {', '.join(cells)} FROM system_{step}_{v})")
+        moved = ", ".join(f"b{i} + r{i} / a{i}_{i} AS b{i}" for i in k)
+        out.append(f"beta_{step + 1} AS MATERIALIZED (SELECT {moved} FROM beta_{step}, system_{step}_{len(_TERMS)})")
+    out.append(
+        f"scored AS MATERIALIZED (SELECT student_id, label, is_train, 1 / (1 + exp(-({line}))) AS dropout_probability "
+        f"FROM x, beta_{_NEWTON_STEPS})"
+    )
+    return ",\n".join(out)
+
+
+def _auc(relation: str, score: str) -> str:
+    return f"""
+SELECT round(sum(CASE WHEN label = 1 THEN mid ELSE 0 END - CASE WHEN label = 1 THEN (n1 + 1) / 2.0 ELSE 0 END)
+             / max(n1 * n0), 6)::DOUBLE AS auc
+FROM (
+  SELECT label, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS mid,
+         sum(label) OVER () AS n1, sum(1 - label) OVER () AS n0
+  FROM {relation})"""
+
+
+_FEATURES = ["attendance_pct", "performance_score", "risk_score", "grade_level", "academic_risk_flag", "attendance_risk_flag", "socio_economic_risk_flag"]
+
+
 def _raw(select: str) -> str:
     return f"WITH {RAW}\n{select}"
 
@@ -164,10 +217,6 @@ def _ml(select: str) -> str:
     return f"WITH {RAW}, {SILVER}, {GOLD}, {FEATURES}\n{select}"
 
 
-def _bucket(salt: str) -> str:
-    return f"(('0x' || substr(md5(student_id || ':{salt}'), 1, 8))::BIGINT % 10000)"
-
-
 def _profile_of(relation: str, columns: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS null_count, "
@@ -261,6 +310,32 @@ ORACLE: dict[str, str] = {
     ),
     "dq_unique_key": _silver(_key_check("s_students", "student_id")),
     "dq_repeated_key": _key_check("orders", "o_custkey"),
+    "dq_orphans": _silver(
+        """
+SELECT found_in, count(*) AS keys, sum(n)::BIGINT AS rows, count(*) FILTER (padded > 0) AS padded_keys,
+       sum(padded)::BIGINT AS padded_rows
+FROM (
+  SELECT string_agg(found, ',' ORDER BY place) AS found_in, sum(n) AS n, sum(padded) AS padded
+  FROM (
+    SELECT student_id, found, place, count(*) AS n, count(*) FILTER (padded) AS padded
+    FROM (
+      SELECT student_id, 'students' AS found, 1 AS place, false AS padded FROM s_students
+      UNION ALL SELECT student_id, 'academic', 2, false FROM s_academic
+      UNION ALL SELECT student_id, 'attendance', 3, student_id LIKE '%3' FROM s_attendance
+      UNION ALL SELECT student_id, 'socio', 4, false FROM s_socio
+      UNION ALL SELECT student_id, 'retention', 5, false FROM s_retention)
+    GROUP BY student_id, found, place)
+  GROUP BY student_id)
+GROUP BY found_in"""
+    ),
+    "dq_dedup": """
+SELECT o_orderkey, o_custkey, n AS repeats, place = 1 AS keep,
+       CASE WHEN n = 1 THEN 'only' WHEN place = 1 THEN 'winner' WHEN o_orderdate <> newest THEN 'o_orderdate'
+            ELSE 'o_orderkey' END AS reason
+FROM (
+  SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, max(o_orderdate) OVER (PARTITION BY o_custkey) AS newest,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+  FROM orders)""",
     "dq_inject_errors": _silver(
         f"""
 SELECT student_id, school_id, enrollment_year, program_type,
@@ -376,13 +451,26 @@ FROM (
         f"FROM features WHERE {_bucket('42')} < 8000"
     ),
     "ml_auc_rank": _gold(
-        """
-SELECT round(sum(CASE WHEN label = 1 THEN mid ELSE 0 END - CASE WHEN label = 1 THEN (n1 + 1) / 2.0 ELSE 0 END)
-             / max(n1 * n0), 6)::DOUBLE AS auc
-FROM (
-  SELECT label, rank() OVER (ORDER BY risk_score) + (count(*) OVER (PARTITION BY risk_score) - 1) / 2.0 AS mid,
-         sum(label) OVER () AS n1, sum(1 - label) OVER () AS n0
-  FROM (SELECT risk_score, CASE WHEN retention_risk_flag THEN 1 ELSE 0 END AS label FROM profile))"""
+        _auc("(SELECT risk_score, CASE WHEN retention_risk_flag THEN 1 ELSE 0 END AS label FROM profile)", "risk_score")
+    ),
+    "ml_predictions": _ml(
+        f", {_newton()}\nSELECT student_id, round(dropout_probability, 3) AS dropout_probability FROM scored WHERE NOT is_train"
+    ),
+    "ml_model_auc": _ml(f", {_newton()}\n{_auc('scored WHERE NOT is_train', 'dropout_probability')}"),
+    "ml_score_equations": _ml(
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS term, round(sum({x})::DOUBLE, 4) AS observed, 1.0::DOUBLE AS explained "
+            f"FROM features WHERE {_bucket('42')} < 8000 AND label = 1"
+            for t, x in {"intercept": "1", **{f: f for f in _FEATURES}}.items()
+        )
+    ),
+    "ml_gram": _ml(
+        "\nUNION ALL\n".join(
+            f"SELECT '{a}' AS row_feature, '{b}' AS column_feature, round(sum({a}::DOUBLE * {b}), 2) AS product "
+            f"FROM features WHERE {_bucket('42')} < 8000"
+            for i, a in enumerate(_FEATURES)
+            for b in _FEATURES[i:]
+        )
     ),
     "pred_with_risk_topk": _gold(
         "SELECT p.student_id, dropout_probability, risk_level, intervention_required "
@@ -419,4 +507,7 @@ FROM (
         "order_year",
         "o_orderstatus = 'F'",
     ),
+    "alert_event_trend": _trend(
+        "(SELECT strftime(ts, '%Y-%m-%d %H:%M') AS minute, event_type FROM events)", "minute", "event_type = 'error'"
+    ),
 }

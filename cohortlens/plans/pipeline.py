@@ -49,7 +49,7 @@ class Pipeline:
         self,
         layer: str,
         tables: Mapping[str, Callable[[], DataFrame]],
-        buckets: tuple[int, str] | None = None,
+        buckets: Mapping[str, tuple[int, str]] = MappingProxyType({}),
         needs: Mapping[str, Iterable[str]] = MappingProxyType({}),
         notes: Callable[[str], str | None] = lambda name: None,
     ) -> dict[str, int]:
@@ -66,7 +66,7 @@ class Pipeline:
                 rows.append(audit.AuditRow(self.cfg.pipeline_name, layer, name, None, audit.FAILED, message))
                 continue
             row, error = audit.audited(
-                self.cfg.pipeline_name, layer, name, lambda b=build, n=name: self._save(b(), n, buckets)
+                self.cfg.pipeline_name, layer, name, lambda b=build, n=name: self._save(b(), n, buckets.get(n))
             )
             rows.append(replace(row, error_message=notes(name)) if error is None else row)
             first_error = first_error or error
@@ -98,9 +98,13 @@ class Pipeline:
         def clean(entity: str) -> DataFrame:
             return silver.TRANSFORMS[entity](self.read(RAW_FILES[entity].bronze), self.cfg.rules)
 
-        buckets = None
-        if self.cfg.silver_buckets and self.hot_keys({e: clean(e) for e in RAW_FILES}) is None:
-            buckets = (self.cfg.silver_buckets, gold.KEY)
+        buckets = {}
+        if self.cfg.silver_buckets:
+            hot = joins.hot_keys({e: clean(e) for e in RAW_FILES}, gold.KEY, self.cfg.hot_key_rows)
+            most = hot.agg(*[F.max(e).alias(e) for e in RAW_FILES]).first()
+            # One bucket is one task's write, so a table with a key that is hot in it has none.
+            calm = [e for e in RAW_FILES if (most[e] or 0) <= self.cfg.hot_key_rows]
+            buckets = {RAW_FILES[e].silver: (self.cfg.silver_buckets, gold.KEY) for e in calm}
         return self.write_layer("silver", {r.silver: lambda e=e: clean(e) for e, r in RAW_FILES.items()}, buckets)
 
     def silver_tables(self) -> dict[str, DataFrame]:
@@ -146,8 +150,8 @@ class Pipeline:
             return model.score(fitted(), chosen).select("student_id", "dropout_probability")
 
         def metrics() -> DataFrame:
-            auc = model.auc(model.score(fitted(), test))
-            return self.spark.range(1).select(F.lit(auc).alias("auc"), F.current_timestamp().alias("run_timestamp"))
+            scored = model.score(fitted(), test)
+            return model.auc_by_rank(scored).withColumn("run_timestamp", F.current_timestamp())
 
         return self.write_layer("ml", {"gold_dropout_predictions": predictions, "gold_model_metrics": metrics})
 

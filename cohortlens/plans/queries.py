@@ -125,6 +125,22 @@ def dq_repeated_key(spark: SparkSession, sf: str) -> DataFrame:
     return quality.key_check(read_table(spark, sf, "orders"), "o_custkey")
 
 
+def dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Which silver tables hold which students, where some attendance ids come padded."""
+    tables = _silver(spark, sf)
+    own = F.col("student_id")
+    padded = F.when(F.substring(own, -1, 1) == "3", F.concat(F.lit(" "), own)).otherwise(own)
+    tables["attendance"] = tables["attendance"].withColumn("student_id", padded)
+    return quality.orphans(tables, "student_id")
+
+
+def dq_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest order of every customer, and by what each other order lost."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    best = {"o_orderdate": F.col("o_orderdate"), "o_orderkey": F.col("o_orderkey")}
+    return quality.resolve_repeats(orders, "o_custkey", best, hot_rows=20).drop("o_orderdate")
+
+
 def dq_inject_errors(spark: SparkSession, sf: str) -> DataFrame:
     students = silver.students(_raw(spark, sf).students()).drop("updated_timestamp")
     for column, fraction, value in [
@@ -208,9 +224,9 @@ def join_left_star(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def join_left_star_split(spark: SparkSession, sf: str) -> DataFrame:
-    """The star join with keys split over tasks. One row makes a key hot here."""
+    """The star join with every key taken for hot: all rows go through the grid."""
     tables = _silver(spark, sf)
-    return gold.joined_flags(tables, joins.hot_keys(tables, "student_id", hot_rows=1))
+    return gold.joined_flags(tables, joins.hot_keys(tables, "student_id", hot_rows=0))
 
 
 def join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,11 +300,16 @@ def ml_hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     train, test = model.split(written(model.features(_profile(spark, sf))))
-    return model.score(model.fit(model.assemble(train)), test)
+    return model.score(model.fit(model.assemble(train), tol=1e-9), test)
 
 
 def ml_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("student_id", "dropout_probability")
+    """Probabilities of the test part, fitted close enough to the optimum for three digits."""
+    return _scored(spark, sf).select("student_id", F.round("dropout_probability", 3).alias("dropout_probability"))
+
+
+def ml_model_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return model.auc_by_rank(_scored(spark, sf)).select(F.round("auc", 6).alias("auc"))
 
 
 def ml_scored_students(spark: SparkSession, sf: str) -> DataFrame:
@@ -307,10 +328,23 @@ def ml_calibration(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ml_score_equations(spark: SparkSession, sf: str) -> DataFrame:
+    """Each term's sum over positive training rows, and the share of it that the fit explains: 1 at the optimum."""
+    train, _ = model.split(written(model.features(_profile(spark, sf))))
+    sums = model.score_equations(model.score(model.fit(model.assemble(train)), train))
+    explained = F.round(F.col("expected") / F.col("observed"), 4).alias("explained")
+    return sums.select("term", F.round("observed", 4).alias("observed"), explained)
+
+
+def ml_gram(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = model.split(model.features(_profile(spark, sf)))
+    return model.gram(model.assemble(train)).withColumn("product", F.round("product", 2))
+
+
 def ml_auc_rank(spark: SparkSession, sf: str) -> DataFrame:
-    label = F.when(F.col("retention_risk_flag"), 1.0).otherwise(0.0).alias("label")
-    scored = written(_profile(spark, sf).select(F.col("risk_score").cast("double"), label))
-    return spark.range(1).select(F.lit(round(model.auc(scored, "risk_score"), 6)).alias("auc"))
+    label = F.when(F.col("retention_risk_flag"), 1).otherwise(0).alias("label")
+    scored = _profile(spark, sf).select(F.col("risk_score").cast("double"), label)
+    return model.auc_by_rank(scored, "risk_score").select(F.round("auc", 6).alias("auc"))
 
 
 # --- alerts ----------------------------------------------------------------------
@@ -385,6 +419,14 @@ def alert_order_trend(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.rate_trend(orders, "order_year", "is_final")
 
 
+def alert_event_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """The share of errors among events, minute by minute."""
+    events = read_table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("minute"), (F.col("event_type") == "error").alias("is_error")
+    )
+    return alerts.rate_trend(events, "minute", "is_error")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -401,6 +443,8 @@ QUERIES: dict[str, Query] = {
         dq_profile,
         dq_unique_key,
         dq_repeated_key,
+        dq_orphans,
+        dq_dedup,
         dq_inject_errors,
         dq_rejects,
         silver_students,
@@ -430,7 +474,10 @@ QUERIES: dict[str, Query] = {
         ml_predictions,
         ml_scored_students,
         ml_calibration,
+        ml_score_equations,
+        ml_gram,
         ml_auc_rank,
+        ml_model_auc,
         pred_with_risk_topk,
         alert_threshold_ge,
         alert_threshold_gt,
@@ -443,5 +490,6 @@ QUERIES: dict[str, Query] = {
         alert_institution_trend,
         alert_region_trend,
         alert_order_trend,
+        alert_event_trend,
     ]
 }

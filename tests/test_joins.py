@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.operators.joins import MAX_HOT_KEYS, frequent_keys, hot_keys, split_star_join, star_join
+from cohortlens.operators import joins
+from cohortlens.operators.joins import grid, hot_keys, split_star_join, star_join
 
 
 def rows(df):
@@ -34,7 +35,7 @@ def frames(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [1, 4, 10, 1000])
+@pytest.mark.parametrize("hot_rows", [0, 1, 4, 10, 1000])
 def test_same_rows_as_plain_join(spark, frames, how, hot_rows):
     left, right, other = frames
     plain = star_join(left, [right, other], "k", how)
@@ -64,25 +65,82 @@ def test_swapped_sides(spark, frames):
     assert rows(split([right, left], "left", 5)) == rows(right.join(left, "k", "left"))
 
 
-def test_equal_copies_are_spread(spark):
-    """A third of the table is copies of one row; they land in many parts."""
-    df = spark.range(0, 3000, 1, 40).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(16))
-    sizes = [r["count"] for r in df.where("k = 'hot'").groupBy(part.alias("p")).count().collect()]
-    assert len(sizes) > 8 and max(sizes) < 1000 / 4
-
-
-def test_hot_keys_counts_parts(spark, frames):
+def test_hot_keys_have_exact_counts(spark, frames):
     left, right, _ = frames
-    assert {r["k"]: r["parts"] for r in frequent_keys(left, "k", 10).collect()} == {"a": 6, "both": 2, None: 2}
-    both = hot_keys({"l": left, "r": right}, "k", 10).collect()
-    assert {tuple(r) for r in both} == {("a", 6, 1), ("b", 1, 7), ("both", 2, 2), (None, 2, 1)}
-
-
-def test_hot_key_is_found_among_many_and_their_number_is_bounded(spark):
-    df = spark.range(0, 300_000, 1, 16).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert [tuple(r) for r in frequent_keys(df, "k", 50_000).collect()] == [(-1, 2)]
-    assert frequent_keys(df, "k", 1).count() <= MAX_HOT_KEYS
+    both = hot_keys({"l": left, "r": right}, "k", 10).drop("_rows").collect()
+    assert {tuple(r) for r in both} == {("a", 60, 1), ("b", 1, 70), ("both", 12, 15), (None, 20, 1)}
+
+
+def test_all_hot_keys_are_found_at_any_number_and_rarity(spark):
+    """3,000 keys above the threshold, and one that holds 0.01 % of the rows."""
+    many = spark.range(0, 60_000, 1, 8).select((F.col("id") % 3000).alias("k"))
+    assert hot_keys({"t": many}, "k", 19).count() == 3000
+    rare = spark.range(0, 1_000_000, 1, 8).select(F.when(F.col("id") % 10_000 == 7, -1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r)[:2] for r in hot_keys({"t": rare}, "k", 99).collect()] == [(-1, 100)]
+
+
+def rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """64 shuffle partitions that stay as they are."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_pairs_of_a_key_are_dealt_over_tasks(spark, many_tasks, monkeypatch, few):
+    """900 equal rows on either side: 810,000 pairs, 10,000 a part, none of them alone in a task."""
+    if not few:
+        monkeypatch.setattr(joins, "MOST_BROADCAST", 0)
+    left = spark.range(0, 900, 1, 1).select(F.lit("k").alias("k"), F.lit(1).alias("l"))
+    right = spark.range(0, 900, 1, 1).select(F.lit("k").alias("k"), F.lit(2).alias("r"))
+    tables = {"a": left, "b": right}
+    joined = split_star_join(tables, "k", "inner", hot_keys(tables, "k", 10_000))
+    sizes = rows_by_task(joined)
+    assert sum(sizes) == 810_000 and len(sizes) > 30 and max(sizes) < 810_000 / 8
+    plain = rows_by_task(star_join(left, [right], "k", "inner"))
+    assert max(plain) == 810_000
+
+
+def test_three_thousand_hot_keys_are_all_split(spark, many_tasks):
+    """Keys of 20 x 20 pairs, 40 a part: each is cut into ten parts or more."""
+    left = spark.range(0, 60_000, 1, 4).select((F.col("id") % 3000).alias("k"), F.col("id").alias("l"))
+    right = spark.range(0, 60_000, 1, 4).select((F.col("id") % 3000).alias("k"), F.col("id").alias("r"))
+    tables = {"a": left, "b": right}
+    hot = hot_keys(tables, "k", 40)
+    parts = hot.select(*grid(F.col("a").cast("double"), F.col("b").cast("double"), F.col("_rows"))).distinct().collect()
+    assert hot.count() == 3000 and all(r[0] * r[1] >= 10 for r in parts)
+    joined = split_star_join(tables, "k", "inner", hot)
+    assert joined.count() == 3000 * 400
+    tasks = joined.groupBy("k", F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert tasks <= 400 / 2
+
+
+def test_grid_keeps_tasks_within_the_rows_asked_for(spark):
+    cases = spark.createDataFrame([(float(a), float(b), 100.0) for a in (0, 1, 7, 900, 10**6) for b in (0, 1, 7, 900, 10**6)], "a double, b double, n double")
+    for r in cases.select("*", *[c.alias(x) for c, x in zip(grid(F.col("a"), F.col("b"), F.col("n")), "lr", strict=True)]).collect():
+        a, b = max(r.a, 1), max(r.b, 1)
+        assert 1 <= r.l <= a and 1 <= r.r <= b
+        assert -(-a // r.l) * -(-b // r.r) <= 4 * 100 and a / r.l <= 100 and b / r.r <= 100
+        assert a * r.r + b * r.l <= 4 * (a * b * -(-a * b // 100)) ** 0.5 + 2 * (a + b)
+
+
+def test_many_null_keys_take_no_join(spark, many_tasks):
+    left = spark.range(0, 9000, 1, 16).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.lit("x").alias("l"))
+    right = spark.range(0, 3000, 1, 4).select(F.col("id").alias("k"), F.lit("y").alias("r"))
+    tables = {"a": left, "b": right}
+    joined = split_star_join(tables, "k", "left", hot_keys(tables, "k", 1000))
+    nulls = rows_by_task(joined.where("k IS NULL"))
+    assert sum(nulls) == 3000 and max(nulls) < 400
+    assert rows(joined) == rows(left.join(right, "k", "left"))
 
 
 def test_empty_sides(spark, frames):

@@ -222,3 +222,30 @@ def test_rate_trend(spark):
     ]
     overall = [tuple(r) for r in alerts.rate_trend(df, "year", "dropped").orderBy("year").collect()]
     assert overall == [(2020, 4, 0, 0.0, None, False), (2021, 6, 3, 0.5, 0.5, True), (2022, 2, 0, 0.0, -0.5, False)]
+
+
+def test_orphans_by_combination_of_tables(spark):
+    make = lambda keys: spark.createDataFrame([(k,) for k in keys], "k string")
+    tables = {"a": make(["1", "2", None]), "b": make(["1", " 1", "3 ", "3", None]), "c": make(["1", "4"])}
+    got = {tuple(r) for r in quality.orphans(tables, "k").collect()}
+    assert got == {("a,b,c", 1, 4, 1, 1), ("a", 1, 1, 0, 0), ("b", 1, 2, 1, 1), ("c", 1, 1, 0, 0), ("no key", 1, 2, 0, 0)}
+    plan = quality.orphans(tables, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [0, 3, 1000])
+def test_one_row_of_each_key_is_kept(spark, hot_rows):
+    rows = [("a", 1, "x"), ("a", 3, "y"), ("a", 3, "z"), ("b", None, "p"), ("b", 0, "p"), ("c", 5, "q"), (None, 1, "r"), (None, 1, "r")]
+    rows += [("h", 9, "same")] * 8
+    df = spark.createDataFrame(rows, "k string, v int, w string").repartition(4)
+    best = {"v": F.col("v"), "w": F.col("w")}
+    got = quality.resolve_repeats(df, "k", best, hot_rows).collect()
+    assert sorted(map(str, [tuple(r)[:3] for r in got])) == sorted(map(str, rows))
+    of = lambda k: sorted([(r.keep, r.reason, r.v, r.repeats) for r in got if r.k == k], key=str)
+    assert of("a") == [(False, "v", 1, 3), (False, "w", 3, 3), (True, "winner", 3, 3)]
+    assert of("b") == [(False, "v", None, 2), (True, "winner", 0, 2)]
+    assert of("c") == [(True, "only", 5, 1)]
+    assert of(None) == [(True, "no key", 1, 1)] * 2
+    assert of("h") == [(False, "equal", 9, 8)] * 7 + [(True, "winner", 9, 8)]
+    plan = quality.resolve_repeats(df, "k", best, hot_rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

@@ -163,7 +163,7 @@ def test_hot_and_repeated_keys(spark, tmp_path):
     run = Pipeline(spark, cfg)
     run.bronze(folder)
     run.silver()
-    assert [tuple(r)[:2] for r in run.hot_keys(run.silver_tables()).collect()] == [("S100007", 8)]
+    assert [tuple(r)[:2] for r in run.hot_keys(run.silver_tables()).collect()] == [("S100007", 151)]
     written = run.gold()
     assert written["gold_student_risk_profile"] == 450
     plain = Pipeline(spark, PipelineConfig(database="hot_run", on_repeated_key="multiply"))
@@ -213,14 +213,22 @@ def test_bucketed_silver_tables_join_without_exchange(spark, dirty_run, landing)
         spark.conf.set(limit, before)
 
 
-def test_hot_key_forbids_buckets(spark, landing):
-    cfg = PipelineConfig(database="hot_bucket_run", silver_buckets=4, hot_key_rows=1)
+def test_only_the_table_with_a_hot_key_has_no_buckets(spark, tmp_path):
+    tables = raw_tables(spark, 200)
+    copies = tables["socio"].where("student_id = 'S100007'").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("i")
+    tables["socio"] = tables["socio"].unionByName(copies)
+    cfg = PipelineConfig(database="hot_bucket_run", silver_buckets=4, hot_key_rows=20, on_repeated_key="multiply")
     create_database(spark, cfg.database)
     run = Pipeline(spark, cfg)
-    run.bronze(landing)
+    run.bronze(land(tables, tmp_path))
     run.silver()
-    described = spark.sql(f"DESCRIBE EXTENDED {cfg.table('silver_students')}").collect()
-    assert not any(r["col_name"] == "Num Buckets" for r in described)
+
+    def bucketed(entity):
+        described = spark.sql(f"DESCRIBE EXTENDED {cfg.table(RAW_FILES[entity].silver)}").collect()
+        return any(r["col_name"] == "Num Buckets" for r in described)
+
+    assert {e for e in RAW_FILES if not bucketed(e)} == {"socio"}
+    assert run.gold()["gold_student_risk_profile"] == run.read("silver_students").count() + 60
 
 
 def test_observed_count_of_an_empty_write(spark):
