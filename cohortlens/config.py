@@ -76,6 +76,9 @@ class PipelineConfig:
     write_options: dict[str, str] = field(default_factory=dict)
     infer_schema: bool = False
     csv_options: dict[str, str] = field(default_factory=dict)  # such as nullValue, dateFormat, mode
+    # "null": a value of another type is NULL and its record stays; "quarantine": the record goes
+    # to bronze_rejects.
+    on_malformed: str = "null"
     rules: Rules = Rules()
 
     # Keys with more rows than this in a table, or pairs in a join, are split over several tasks.

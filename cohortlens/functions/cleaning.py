@@ -34,11 +34,11 @@ def upper_or(c: Column, default: str) -> Column:
 
 
 def to_boolean(c: Column) -> Column:
-    """True for true/t/yes/y/1 in any case and padding, False for all else.
+    """True for true/yes/y in any case and padding, False for all else.
 
-    Total: an unknown word or NULL is False instead of a cast error.
+    Total: an unknown word or NULL is False instead of a cast error. Takes booleans too.
     """
-    return F.coalesce(c.try_cast("boolean"), F.lit(False))
+    return F.coalesce(F.lower(F.trim(c.cast("string"))).isin("true", "yes", "y"), F.lit(False))
 
 
 def impute_or_cap(c: Column, fill: Column, low: float, high: float) -> Column:

@@ -40,12 +40,17 @@ raw_socio AS (
   SELECT student_id,
          CASE WHEN k % 17 = 0 THEN NULL WHEN c_acctbal < 3000 THEN ' Low'
               WHEN c_acctbal < 7000 THEN 'Middle' ELSE 'High' END AS family_income_band,
-         CASE k % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN 'True' ELSE 'False' END AS working_part_time
+         CASE k % 23 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown Level' ELSE ' Graduate ' END AS parental_education,
+         CASE k % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN ' YES' WHEN 2 THEN 'true' WHEN 3 THEN NULL ELSE 'No' END
+           AS access_to_internet,
+         CASE k % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN 'True' ELSE 'False' END AS working_part_time,
+         CASE k % 5 WHEN 0 THEN 'Y' WHEN 1 THEN '1' WHEN 2 THEN 't' ELSE 'False' END AS scholarship_status
   FROM base),
 raw_retention AS (
   SELECT student_id,
          CASE WHEN k % 50 = 7 THEN NULL ELSE lastd < TIMESTAMP '2000-11-01 00:00:00' END AS dropout_flag,
-         CASE WHEN k % 3 = 0 THEN NULL ELSE 'Financial Issues' END AS dropout_reason
+         CASE WHEN k % 3 = 0 THEN NULL ELSE 'Financial Issues' END AS dropout_reason,
+         CASE WHEN k % 4 = 0 THEN 'Dropped' ELSE 'Retained' END AS retention_status
   FROM base LEFT JOIN oc ON k = o_custkey)
 """
 
@@ -98,7 +103,10 @@ s_socio AS (
   SELECT *, family_income_band = 'LOW' OR working_part_time AS socio_economic_risk_flag
   FROM (
     SELECT student_id, coalesce(upper(trim(family_income_band)), 'UNKNOWN') AS family_income_band,
-           working_part_time IN ('Yes', 'True') AS working_part_time
+           trim(parental_education) AS parental_education,
+           coalesce(trim(access_to_internet) IN ('Yes', 'YES', 'true'), false) AS access_to_internet,
+           working_part_time IN ('Yes', 'True') AS working_part_time,
+           scholarship_status = 'Y' AS scholarship_status
     FROM raw_socio)),
 s_retention AS (
   SELECT student_id, dropped AS dropout_flag,
@@ -282,21 +290,72 @@ _SILVER_TABLES = {
     "silver_retention_status": "s_retention",
 }
 
+_CSV = {
+    "students": "students_master.csv",
+    "academic": "academic_performance.csv",
+    "attendance": "attendance_records.csv",
+    "socio": "socio_economic_data.csv",
+    "retention": "retention_status.csv",
+}
+_RAW_COLUMNS = {
+    "students": ["student_id", "gender", "region", "school_id", "grade_level", "enrollment_year", "program_type"],
+    "academic": ["student_id", "avg_score", "failed_subjects"],
+    "attendance": ["student_id", "total_days", "days_present"],
+    "socio": ["student_id", "family_income_band", "parental_education", "access_to_internet", "working_part_time", "scholarship_status"],
+    "retention": ["student_id", "dropout_flag", "dropout_reason", "retention_status"],
+}
+_LAYERS = f"""
+SELECT layer_name, table_name, record_count, 'SUCCESS' AS run_status FROM (
+  SELECT 'silver' AS layer_name, table_name, record_count FROM ({_counts(_SILVER_TABLES)})
+  UNION ALL SELECT 'bronze', replace(table_name, 'silver_', 'bronze_'), (SELECT count(*) FROM base) FROM ({_counts(_SILVER_TABLES)})
+  UNION ALL SELECT 'gold', 'gold_student_risk_profile', count(*) FROM profile
+  UNION ALL SELECT 'gold', 'gold_attendance_vs_performance', count(*) FROM profile
+  UNION ALL SELECT 'gold', 'gold_dropout_trends', count(DISTINCT (region, grade_level)) FROM profile
+  UNION ALL SELECT 'gold', 'gold_intervention_candidates', count(*) FROM profile WHERE intervention_required
+  UNION ALL SELECT 'gold', 'gold_retention_overview', 1
+  UNION ALL SELECT 'ml', 'gold_dropout_predictions', count(*) FROM scored WHERE NOT is_train
+  UNION ALL SELECT 'ml', 'gold_model_metrics', 1
+  UNION ALL SELECT 'alerts', 'gold_high_risk_alerts', count(*) FROM predicted
+  UNION ALL SELECT 'alerts', 'gold_alert_digest',
+    1 + least(count(*), 5) + count(DISTINCT coalesce(primary_risk_driver, '-')) + count(DISTINCT grade_level) + {len(ADVICE)}
+    FROM predicted JOIN profile USING (student_id)
+  UNION ALL SELECT 'alerts', 'gold_institution_trend', count(DISTINCT enrollment_year) FROM s_students)
+UNION ALL SELECT 'extra', 'gold_of_nothing', NULL, 'FAILED'"""
+
 ORACLE: dict[str, str] = {
     "src_csv_scan": _raw("SELECT * FROM raw_students"),
     "src_csv_infer": _raw(
-        "SELECT student_id, family_income_band, working_part_time FROM raw_socio"
+        "SELECT * FROM raw_socio"
     ),
     "src_manifest": _raw(
-        "SELECT 'students_master.csv' AS file, count(*) > 0 AS has_bytes FROM raw_students "
-        "UNION ALL SELECT 'retention_status.csv', count(*) > 0 FROM raw_retention"
+        "\nUNION ALL\n".join(f"SELECT '{csv}' AS file, count(*) > 0 AS has_bytes FROM raw_{n}" for n, csv in _CSV.items())
+    ),
+    "src_csv_reordered": _raw(
+        "\nUNION ALL\n".join(
+            f"SELECT '{csv}' AS file, '{c}' AS column_name, count(*) AS rows, count({c}) AS filled FROM raw_{n}"
+            for n, csv in _CSV.items()
+            for c in _RAW_COLUMNS[n]
+        )
+    ),
+    "src_csv_rejects": _raw(
+        """
+SELECT CASE WHEN columns = '' THEN 'accepted' ELSE 'value of another type' END AS outcome, columns, count(*) AS records
+FROM (
+  SELECT concat_ws(',', CASE WHEN k % 37 = 0 THEN 'avg_score' END, CASE WHEN k % 41 = 0 THEN 'failed_subjects' END) AS columns
+  FROM (SELECT student_id[2:]::BIGINT - 100000 AS k FROM raw_academic))
+GROUP BY columns"""
+    ),
+    "src_incremental": _raw(
+        "\nUNION ALL\n".join(
+            f"SELECT '{n}' AS table_name, {run} AS run, count(*) FILTER ({part}) AS rows FROM raw_{n}"
+            for n in _CSV
+            for run, part in {1: "student_id[2:]::BIGINT % 2 = 0", 2: "student_id[2:]::BIGINT % 2 = 1", 3: "false"}.items()
+        )
     ),
     "bronze_stamp": _raw("SELECT *, 'synthetic_csv' AS source_system, true AS is_stamped FROM raw_socio"),
     "snk_overwrite_table": _silver("SELECT * FROM s_retention"),
-    "audit_log": _silver(
-        "SELECT 'silver' AS layer_name, table_name, record_count, 'SUCCESS' AS run_status "
-        f"FROM ({_counts(_SILVER_TABLES)})\n"
-        "UNION ALL SELECT 'gold', 'gold_retention_overview', 1, 'SUCCESS'"
+    "audit_log": _ml(
+        f", {_newton()},\npredicted AS (SELECT * FROM scored WHERE NOT is_train AND dropout_probability >= 0.7)\n{_LAYERS}"
     ),
     "agg_row_counts": _raw(
         _counts({n: f"raw_{n}" for n in ["students", "academic", "attendance", "socio", "retention"]})
@@ -369,6 +428,11 @@ FROM raw_students WHERE grade_level NOT BETWEEN 1 AND 12 OR enrollment_year < 20
     + _attendance("v_attendance", "(CASE WHEN total_days > 0 THEN total_days ELSE 180 END)")
     + "SELECT * FROM v_attendance",
     "silver_socio": _silver("SELECT * FROM s_socio"),
+    "silver_audit_stamp": _silver(
+        "SELECT replace(table_name, 'silver_', '') AS table_name, true AS is_kept, true AS is_updated, "
+        "'synthetic_csv' AS source_system, record_count AS rows "
+        f"FROM ({_counts({n: 's_' + n for n in _CSV})})"
+    ),
     "silver_retention": _silver("SELECT * FROM s_retention"),
     "silver_retention_summary": _silver(
         "SELECT retention_status, count(*) AS count FROM s_retention GROUP BY retention_status"

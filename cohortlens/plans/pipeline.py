@@ -7,8 +7,10 @@ tables, records one audit row per table and stops the run if a table failed.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import replace
+from functools import reduce
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +21,7 @@ from cohortlens.operators import alerts, joins, model, quality
 from cohortlens.plans import gold, silver
 from cohortlens.schemas import RAW_FILES
 from cohortlens.sources import audit
-from cohortlens.sources.files import read_csv, stamp
+from cohortlens.sources.files import checked_csv, read_csv, stamp
 from cohortlens.sources.tables import create_database, save_table
 
 AUDIT_TABLE = "pipeline_audit_log"
@@ -31,11 +33,16 @@ class LayerFailed(RuntimeError):
 
 
 class Pipeline:
-    """One run's session and settings; each method is one step and can be called alone."""
+    """One run's session and settings; each method is one step and can be called alone.
 
-    def __init__(self, spark: SparkSession, cfg: PipelineConfig = PipelineConfig()):
+    ``run_id`` names the run in the audit log. A step called again under the same id is a
+    retry: its tables are replaced, and its audit rows take the place of the former ones.
+    """
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig = PipelineConfig(), run_id: str | None = None):
         self.spark = spark
         self.cfg = cfg
+        self.run_id = run_id or uuid.uuid4().hex
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.cfg.table(name))
@@ -70,14 +77,20 @@ class Pipeline:
             )
             rows.append(replace(row, error_message=notes(name)) if error is None else row)
             first_error = first_error or error
-        audit.write_audit_log(self.spark, self.cfg.table(AUDIT_TABLE), rows, self.cfg.table_format)
+        audit.write_audit_log(self.spark, self.cfg.table(AUDIT_TABLE), rows, self.cfg.table_format, self.run_id)
         if first_error is not None:
             failed = [r.table_name for r in rows if r.run_status == audit.FAILED]
             raise LayerFailed(f"{layer}: {', '.join(failed)}") from first_error
         return {r.table_name: r.record_count for r in rows}
 
     def bronze(self, raw_dir: str) -> dict[str, int]:
-        """Loads the five files; the audit row says how many records have a value of the wrong type."""
+        """Loads the five files; the audit row says how many records have a value of the wrong type.
+
+        With ``on_malformed="quarantine"`` such records, and those with too few or too many
+        fields, go to ``bronze_rejects`` instead, with file, columns and reason.
+        """
+        if self.cfg.on_malformed == "quarantine":
+            return self._bronze_checked(raw_dir)
         seen = {r.bronze: Observation() for r in RAW_FILES.values()}
 
         def load(raw) -> DataFrame:
@@ -94,6 +107,19 @@ class Pipeline:
 
         return self.write_layer("bronze", {r.bronze: lambda r=r: load(r) for r in RAW_FILES.values()}, notes=malformed)
 
+    def _bronze_checked(self, raw_dir: str) -> dict[str, int]:
+        @functools.cache
+        def parts(name: str) -> tuple[DataFrame, DataFrame]:
+            raw = next(r for r in RAW_FILES.values() if r.bronze == name)
+            return checked_csv(self.spark, f"{raw_dir.rstrip('/')}/{raw.csv}", raw.schema, **self.cfg.csv_options)
+
+        def rejects() -> DataFrame:
+            named = [parts(r.bronze)[1].withColumn("table_name", F.lit(r.bronze)) for r in RAW_FILES.values()]
+            return stamp(reduce(DataFrame.unionByName, named), self.cfg.source_system)
+
+        tables = {r.bronze: lambda n=r.bronze: stamp(parts(n)[0], self.cfg.source_system) for r in RAW_FILES.values()}
+        return self.write_layer("bronze", {**tables, "bronze_rejects": rejects})
+
     def silver(self) -> dict[str, int]:
         def clean(entity: str) -> DataFrame:
             return silver.TRANSFORMS[entity](self.read(RAW_FILES[entity].bronze), self.cfg.rules)

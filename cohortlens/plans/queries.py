@@ -7,20 +7,23 @@ that a run can be compared value by value with ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.config import PipelineConfig, Rules
 from cohortlens.functions.cleaning import clamp, right_closed_band
 from cohortlens.functions.scoring import first_label_by_priority, last_label
 from cohortlens.operators import alerts, joins, model, quality
 from cohortlens.plans import gold, silver
-from cohortlens.plans.pipeline import AUDIT_TABLE, Pipeline
+from cohortlens.plans.pipeline import AUDIT_TABLE, LayerFailed, Pipeline
 from cohortlens.schemas import RAW_FILES
 from cohortlens.session import shared_folder
 from cohortlens.sources.audit import newest_first
-from cohortlens.sources.files import manifest, read_csv, stamp, write_csv
+from cohortlens.sources.files import checked_csv, manifest, read_csv, stamp, write_csv
+from cohortlens.sources.ingest import Ingest
 from cohortlens.sources.orders_cohort import OrdersCohort, read_table
 from cohortlens.sources.tables import create_database, save_table, written
 
@@ -69,34 +72,113 @@ def src_csv_infer(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, infer=True)
 
 
+def _land(raw: OrdersCohort, folder: str, entities=RAW_FILES, keep: str = "true") -> None:
+    """The raw tables' rows as CSV files with all columns of the schema, those not derived empty."""
+    for name in entities:
+        df = raw.table(name).where(keep)
+        fields = T.StructType.fromDDL(RAW_FILES[name].schema)
+        have = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        write_csv(df.select(*have), f"{folder}/{RAW_FILES[name].csv}")
+
+
 def src_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The five landing files, and whether each has bytes."""
     root = shared_folder(spark)
-    raw = _raw(spark, sf)
-    write_csv(raw.students(), f"{root}/{RAW_FILES['students'].csv}")
-    write_csv(raw.retention(), f"{root}/{RAW_FILES['retention'].csv}")
+    _land(_raw(spark, sf), root)
     files = manifest(spark, root).withColumn("file", F.element_at(F.split("path", "/"), -2))
     data = files.where(F.col("path").endswith(".csv"))
     return data.groupBy("file").agg((F.sum("length") > 0).alias("has_bytes"))
 
 
+def src_csv_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """All five files with their columns in another order and one too many: rows and non-empty values per column."""
+    root, counts = shared_folder(spark), []
+    for name, raw in RAW_FILES.items():
+        df = _raw(spark, sf).table(name)
+        path = f"{root}/{raw.csv}"
+        write_csv(df.select(F.lit("x").alias("more"), *reversed(df.columns)), path)
+        back = read_csv(spark, path, df.schema)
+        per_column = [
+            F.struct(F.lit(raw.csv).alias("file"), F.lit(c).alias("column_name"), F.col("rows"), F.col(c).alias("filled"))
+            for c in back.columns
+        ]
+        measured = back.agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in back.columns])
+        counts.append(measured.select(F.inline(F.array(*per_column))))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def src_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with wrong values by rule: how many records fit, and how many were rejected for which columns."""
+    k = F.substring("student_id", 2, 12).cast("long") - 100_000
+    df = _raw(spark, sf).academic().withColumns(
+        {
+            "avg_score": F.when(k % 37 == 0, "n/a").otherwise(F.col("avg_score").cast("string")),
+            "failed_subjects": F.when(k % 41 == 0, "two").otherwise(F.col("failed_subjects").cast("string")),
+        }
+    )
+    path = f"{shared_folder(spark)}/{RAW_FILES['academic'].csv}"
+    write_csv(df, path)
+    accepted, rejected = checked_csv(spark, path, "student_id string, avg_score double, failed_subjects int")
+    fits = accepted.select(F.lit("accepted").alias("outcome"), F.lit("").alias("columns"))
+    wrong = rejected.select(F.col("reason").alias("outcome"), "columns")
+    return fits.unionByName(wrong).groupBy("outcome", "columns").agg(F.count("*").alias("records"))
+
+
+def src_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The five tables landed in two halves and loaded in three runs: rows that each run loads."""
+    folder, raw, loaded = shared_folder(spark), _raw(spark, sf), []
+    even = "cast(substring(student_id, 2) AS bigint) % 2 = 0"
+    ingests = {
+        name: Ingest(spark, f"{folder}/landing/*/{r.csv}", f"{folder}/store/{name}", r.schema, "synthetic_csv")
+        for name, r in RAW_FILES.items()
+    }
+    batches = {name: [] for name in RAW_FILES}
+    for run, half in ((1, even), (2, f"NOT {even}"), (3, None)):
+        if half:
+            _land(raw, f"{folder}/landing/drop-{run}", keep=half)
+        for name, ingest in ingests.items():
+            batches[name].append(ingest.run())
+    for name, ingest in ingests.items():
+        rows = ingest.current()
+        counts = [F.count_if(F.col("batch") == F.lit(b)) if b else F.lit(0).cast("long") for b in batches[name]]
+        runs = [F.struct(F.lit(i).alias("run"), F.col(f"n{i}").alias("rows")) for i in (1, 2, 3)]
+        measured = rows.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts, 1)])
+        loaded.append(measured.select(F.lit(name).alias("table_name"), F.inline(F.array(*runs))))
+    return reduce(DataFrame.unionByName, loaded)
+
+
 def bronze_stamp(spark: SparkSession, sf: str) -> DataFrame:
     stamped = stamp(_raw(spark, sf).socio(), "synthetic_csv")
     return stamped.withColumn("is_stamped", F.col("created_timestamp").isNotNull()).drop("created_timestamp")
 
 
 def snk_overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The second of two refreshes; a third one that fails leaves it as it is."""
     table = f"{_new_database(spark)}.{RAW_FILES['retention'].silver}"
     cleaned = silver.retention(_raw(spark, sf).retention()).drop("updated_timestamp")
     save_table(cleaned.where("retention_risk_flag"), table)
     save_table(cleaned, table)
+    broken = F.when(F.col("retention_risk_flag"), F.raise_error(F.lit("fails midway"))).otherwise(F.col("dropout_reason"))
+    try:
+        save_table(cleaned.withColumn("dropout_reason", broken.cast("string")), table)
+    except Exception as failed:
+        if "fails midway" not in str(failed):
+            raise
     return spark.table(table)
 
 
 def audit_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run from CSV files, its silver layer repeated, and a table that fails."""
+    landing = shared_folder(spark)
+    _land(_raw(spark, sf), landing)
     run = Pipeline(spark, PipelineConfig(database=_new_database(spark)))
-    cleaned = _silver(spark, sf)
-    run.write_layer("silver", {RAW_FILES[name].silver: lambda df=df: df for name, df in cleaned.items()})
-    run.write_layer("gold", {"gold_retention_overview": lambda: gold.retention_overview(run.read("silver_retention_status"))})
+    run.bronze(landing)
+    for step in (run.silver, run.silver, run.gold, run.predict, run.alert):
+        step()
+    try:
+        run.write_layer("extra", {"gold_of_nothing": lambda: run.read("no_such_table")})
+    except LayerFailed:
+        pass  # recorded, which is what this query shows
     return newest_first(run.read(AUDIT_TABLE)).drop("run_timestamp")
 
 
@@ -192,6 +274,19 @@ def silver_socio(spark: SparkSession, sf: str) -> DataFrame:
     return silver.socio(_raw(spark, sf).socio()).drop("updated_timestamp")
 
 
+def silver_audit_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """Every silver table keeps its bronze time of creation and gains one of its update."""
+    raw, checked = _raw(spark, sf), []
+    for name, transform in silver.TRANSFORMS.items():
+        bronze = stamp(raw.table(name), "synthetic_csv").withColumn("created_timestamp", F.lit("2020-02-02").cast("timestamp"))
+        cleaned = transform(bronze, RULES)
+        kept = (F.col("created_timestamp") == F.lit("2020-02-02").cast("timestamp")).alias("is_kept")
+        updated = (F.col("updated_timestamp") > F.col("created_timestamp")).alias("is_updated")
+        checked.append(cleaned.select(F.lit(name).alias("table_name"), kept, updated, "source_system"))
+    keys = ["table_name", "is_kept", "is_updated", "source_system"]
+    return reduce(DataFrame.unionByName, checked).groupBy(*keys).agg(F.count("*").alias("rows"))
+
+
 def silver_retention(spark: SparkSession, sf: str) -> DataFrame:
     return silver.retention(_raw(spark, sf).retention()).drop("updated_timestamp")
 
@@ -435,6 +530,9 @@ QUERIES: dict[str, Query] = {
         src_csv_scan,
         src_csv_infer,
         src_manifest,
+        src_csv_reordered,
+        src_csv_rejects,
+        src_incremental,
         bronze_stamp,
         snk_overwrite_table,
         audit_log,
@@ -454,6 +552,7 @@ QUERIES: dict[str, Query] = {
         silver_attendance,
         silver_attendance_repaired_first,
         silver_socio,
+        silver_audit_stamp,
         silver_retention,
         silver_retention_summary,
         label_factor_count,

@@ -97,8 +97,8 @@ def socio(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
     cleaned = raw.withColumns(
         {
             "family_income_band": upper_or(F.col("family_income_band"), rules.unknown),
-            **trim_all(c for c in ["parental_education"] if c in raw.columns),
-            **{c: to_boolean(F.col(c)) for c in YES_NO if c in raw.columns},
+            **trim_all(["parental_education"]),
+            **{c: to_boolean(F.col(c)) for c in YES_NO},
             **_updated(),
         }
     )

@@ -58,5 +58,7 @@ AUDIT_LOG = T.StructType(
         T.StructField("record_count", T.LongType(), True),
         T.StructField("run_status", T.StringType(), False),
         T.StructField("error_message", T.StringType(), True),
+        T.StructField("run_id", T.StringType(), True),
+        T.StructField("attempt", T.IntegerType(), True),
     ]
 )

@@ -82,7 +82,11 @@ class OrdersCohort:
             "student_id",
             "CASE WHEN k % 17 = 0 THEN NULL WHEN c_acctbal < 3000 THEN ' Low' "
             "WHEN c_acctbal < 7000 THEN 'Middle' ELSE 'High' END AS family_income_band",
+            "CASE k % 23 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown Level' ELSE ' Graduate ' END AS parental_education",
+            "CASE k % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN ' YES' WHEN 2 THEN 'true' WHEN 3 THEN NULL ELSE 'No' END "
+            "AS access_to_internet",
             "CASE k % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN 'True' ELSE 'False' END AS working_part_time",
+            "CASE k % 5 WHEN 0 THEN 'Y' WHEN 1 THEN '1' WHEN 2 THEN 't' ELSE 'False' END AS scholarship_status",
         )
 
     def retention(self) -> DataFrame:
@@ -90,6 +94,7 @@ class OrdersCohort:
             "student_id",
             "if(k % 50 = 7, NULL, lastd < timestamp_ntz '2000-11-01 00:00:00') AS dropout_flag",
             "if(k % 3 = 0, NULL, 'Financial Issues') AS dropout_reason",
+            "if(k % 4 = 0, 'Dropped', 'Retained') AS retention_status",
         )
 
     def table(self, name: str) -> DataFrame:

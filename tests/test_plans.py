@@ -6,7 +6,7 @@ from cohortlens.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # These write or fit while they are built; their parts are covered by other queries.
-EAGER = {"audit_log", "ml_predictions", "ml_scored_students", "ml_calibration", "ml_score_equations", "ml_model_auc", "snk_overwrite_table"}
+EAGER = {"src_incremental", "audit_log", "ml_predictions", "ml_scored_students", "ml_calibration", "ml_score_equations", "ml_model_auc", "snk_overwrite_table"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
