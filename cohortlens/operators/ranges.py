@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from cohortlens.sources.tables import written
 
 RANGE = "_range"
+# Up to this many ranges, what is carried between them is part of the plan.
+MOST_INLINE = 200
 
 
 def by_range(df: DataFrame, order: Iterable[str]) -> DataFrame:
@@ -25,7 +27,14 @@ def by_range(df: DataFrame, order: Iterable[str]) -> DataFrame:
 
 
 def _carried(ranged: DataFrame, rows: list[tuple], fields: list[T.StructField]) -> DataFrame:
-    """The rows, one per range, joined to their ranges."""
+    """Adds what each range needs (a row per range): written into the plan if short, else joined."""
+    if len(rows) <= MOST_INLINE:
+        place = F.array_position(F.array(*[F.lit(r[0]) for r in rows]).cast("array<int>"), F.col(RANGE)).cast("int")
+        lists = {
+            f.name: F.get(F.array(*[F.lit(r[i]).cast(f.dataType) for r in rows]).cast(T.ArrayType(f.dataType)), place - 1)
+            for i, f in enumerate(fields, 1)
+        }
+        return ranged.withColumns(lists)
     schema = T.StructType([T.StructField(RANGE, T.IntegerType()), *fields])
     carried = written(ranged.sparkSession.createDataFrame(rows, schema).coalesce(1))
     return ranged.join(F.broadcast(carried), RANGE, "left")

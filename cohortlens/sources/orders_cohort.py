@@ -40,9 +40,19 @@ class OrdersCohort:
             "*", "c_custkey AS k", "concat('S', cast(c_custkey + 100000 AS string)) AS student_id"
         )
 
-    def _with_orders(self, measure: str) -> DataFrame:
-        per_customer = self._read("orders").groupBy("o_custkey").agg(F.expr(measure))
-        return self._customers().join(per_customer.withColumnRenamed("o_custkey", "k"), "k", "left")
+    def _with_orders(self) -> DataFrame:
+        """Customers with what their orders say: ``nf``, ``nd`` and ``is_late``.
+
+        All three travel in one array, so that every table has the same aggregate and Spark
+        exchanges ``orders`` once for them together.
+        """
+        urgent = "o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"
+        late = "max(o_orderdate) < timestamp_ntz '2000-11-01 00:00:00'"
+        measures = f"array(count_if({urgent}), count(DISTINCT o_orderdate), if({late}, 1L, 0L)) AS m"
+        per_customer = self._read("orders").groupBy("o_custkey").agg(F.expr(measures))
+        return self._customers().join(per_customer.withColumnRenamed("o_custkey", "k"), "k", "left").selectExpr(
+            "*", "cast(m[0] AS int) AS nf", "cast(m[1] AS int) AS nd", "m[2] = 1 AS is_late"
+        )
 
     def students(self) -> DataFrame:
         nation, region = self._read("nation"), self._read("region")
@@ -63,15 +73,14 @@ class OrdersCohort:
         )
 
     def academic(self) -> DataFrame:
-        urgent = "o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"
-        return self._with_orders(f"cast(count_if({urgent}) AS int) AS nf").selectExpr(
+        return self._with_orders().selectExpr(
             "student_id",
             "CASE WHEN k % 20 = 1 THEN NULL WHEN k % 97 = 0 THEN 120D ELSE floor(c_acctbal) / 100 END AS avg_score",
             "if(k % 40 = 3, NULL, nf) AS failed_subjects",
         )
 
     def attendance(self) -> DataFrame:
-        return self._with_orders("cast(count(DISTINCT o_orderdate) AS int) AS nd").selectExpr(
+        return self._with_orders().selectExpr(
             "student_id",
             "CASE WHEN k % 61 = 5 THEN NULL WHEN k % 60 = 0 THEN 0 ELSE 180 END AS total_days",
             "if(k % 25 = 2, NULL, nd * 14) AS days_present",
@@ -90,9 +99,9 @@ class OrdersCohort:
         )
 
     def retention(self) -> DataFrame:
-        return self._with_orders("max(o_orderdate) AS lastd").selectExpr(
+        return self._with_orders().selectExpr(
             "student_id",
-            "if(k % 50 = 7, NULL, lastd < timestamp_ntz '2000-11-01 00:00:00') AS dropout_flag",
+            "if(k % 50 = 7, NULL, is_late) AS dropout_flag",
             "if(k % 3 = 0, NULL, 'Financial Issues') AS dropout_reason",
             "if(k % 4 = 0, 'Dropped', 'Retained') AS retention_status",
         )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from cohortlens.operators import alerts, model
+from cohortlens.operators import alerts, model, ranges
 from cohortlens.operators.ranges import previous, running_totals
 
 
@@ -16,7 +16,9 @@ def values(request):
     return [(i * 3, rng.choice([None, 0, 1, 7, 10**17])) for i in range(request.param)]
 
 
-def test_running_totals(spark, values):
+@pytest.mark.parametrize("inline", [True, False])
+def test_running_totals(spark, values, inline, monkeypatch):
+    monkeypatch.setattr(ranges, "MOST_INLINE", 200 if inline else -1)
     df = spark.createDataFrame(random.Random(1).sample(values, len(values)), "k long, v long")
     want, total = [], 0
     for k, v in values:
@@ -28,7 +30,9 @@ def test_running_totals(spark, values):
     assert "Window" not in plan or "SinglePartition" not in plan
 
 
-def test_previous(spark, values):
+@pytest.mark.parametrize("inline", [True, False])
+def test_previous(spark, values, inline, monkeypatch):
+    monkeypatch.setattr(ranges, "MOST_INLINE", 200 if inline else -1)
     df = spark.createDataFrame(random.Random(2).sample(values, len(values)), "k long, v long")
     want = [(k, v, None if i == 0 else values[i - 1][1]) for i, (k, v) in enumerate(values)]
     assert sorted(map(tuple, previous(df, ["k"], {"before": "v"}).collect()), key=str) == sorted(want, key=str)
