@@ -22,11 +22,11 @@ left out.
 
 from __future__ import annotations
 
+import json
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import table, text_or_empty
+from cohortlens.llm.bpe import byte_characters
+from cohortlens.llm.common import arrow_slices, table, text_or_empty
 from cohortlens.llm.role_repair import arrow_schema
 from cohortlens.sources.tables import written
 
@@ -42,7 +43,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LENGTH, END_ID = 1024, 2
 # A rank is below this: lengths and ranks share one sorted key.
 MOST_RANKS = 1 << 50
-MEMORY = 200_000
+MEMORY, SHORT = 200_000, 32
 
 
 class Capacities:
@@ -117,34 +118,48 @@ def place(counts: Iterable[tuple[int, int]], top: int = LENGTH) -> tuple[list[Ru
     return runs, bins
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """The ids of a byte-level BPE tokenizers file by the bytes of their tokens, added tokens left out.
+
+    Ids must rise with the order of merges, so that merging the pair of least id first is
+    what the file says.
+    """
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    vocabulary, added = data["model"]["vocab"], {t["content"] for t in data["added_tokens"]}
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in data["model"]["merges"]]
+    if any(a >= b for a, b in pairwise(merged)):
+        raise ValueError(f"the ids of {path} are not in the order of its merges")
+    back = {c: b for b, c in enumerate(byte_characters())}
+    return {bytes(back[c] for c in token): i for token, i in vocabulary.items() if token not in added}
+
+
 class Encoder:
-    """Token ids of texts, by a tokenizers file whose byte-level splitting ``pattern`` describes.
+    """Token ids of texts by a byte-level BPE tokenizers file whose splitting ``pattern`` describes.
 
-    Pre-tokens are encoded on their own, each distinct one of a batch once; the memory of
-    them has a bounded size.
+    Pre-tokens are encoded on their own; known ones are remembered in a memory of bounded size.
     """
 
     def __init__(self, path: str, pattern: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import regex
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self._model = Tokenizer.from_file(path)
-        self._model.encode_special_tokens = True
+        model = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+        self._encode = model.encode_ordinary
         self._split = regex.compile(pattern).findall
         self._known: dict[str, list[int]] = {}
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self._split(t) for t in texts]
-        if len(self._known) > MEMORY:
+    def _new(self, piece: str) -> list[int]:
+        if len(self._known) >= MEMORY:
             self._known.clear()
-        new = list(set(chain.from_iterable(parts)).difference(self._known))
-        found = self._model.encode_batch_fast(new, add_special_tokens=False)
-        self._known.update(zip(new, (e.ids for e in found), strict=True))
-        ids_of = self._known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids_of, p)), "<u4") for p in parts]
+        ids = self._encode(piece)
+        if len(piece) <= SHORT:
+            self._known[piece] = ids
+        return ids
+
+    def __call__(self, text: str) -> np.ndarray:
+        known, new = self._known.get, self._new
+        return np.fromiter(chain.from_iterable(known(p) or new(p) for p in self._split(text)), "<u4")
 
 
 def cuts(n: int, top: int = LENGTH) -> list[int]:
@@ -152,16 +167,6 @@ def cuts(n: int, top: int = LENGTH) -> list[int]:
     return [0, *range(n - (n - 1) // top * top, n, top)]
 
 
-def _sized(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices that hold about so many bytes of text, one row at least."""
-    sizes = np.cumsum([0, *(len(t.as_buffer()) for t in batch.column("text"))])
-    start = 0
-    while start < batch.num_rows:
-        stop = max(bisect_left(sizes, sizes[start] + chars) - 1, start + 1)
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def pieces(
     docs: DataFrame, path: str, pattern: str, top: int = LENGTH, end_id: int = END_ID, with_ids: bool = False
 ) -> DataFrame:
@@ -177,10 +182,10 @@ def pieces(
         encode, part, seen = Encoder(path, pattern), TaskContext.get().partitionId(), np.zeros(top + 1, np.int64)
         to_arrow = arrow_schema(schema)
         for whole in batches:
-            for batch in _sized(whole):
+            for batch in arrow_slices(whole, "text"):
                 found = []
-                for row, ids in enumerate(encode(batch.column("text").to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id))
+                for row, text in enumerate(batch.column("text").to_pylist()):
+                    ids = np.append(encode(text), np.uint32(end_id))
                     starts = cuts(len(ids), top)
                     for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
                         own = ids[a:b]
