@@ -23,6 +23,7 @@ left out.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -43,7 +44,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LENGTH, END_ID = 1024, 2
 # A rank is below this: lengths and ranks share one sorted key.
 MOST_RANKS = 1 << 50
-MEMORY, SHORT = 200_000, 32
+LONG_SPACE = re.compile(r"\s{500}")
 
 
 class Capacities:
@@ -137,7 +138,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Token ids of texts by a byte-level BPE tokenizers file whose splitting ``pattern`` describes.
 
-    Pre-tokens are encoded on their own; known ones are remembered in a memory of bounded size.
+    Texts with very long runs of white space, which the encoder's own splitting cannot hold, are
+    split here and encoded pre-token by pre-token.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -147,19 +149,11 @@ class Encoder:
         model = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
         self._encode = model.encode_ordinary
         self._split = regex.compile(pattern).findall
-        self._known: dict[str, list[int]] = {}
-
-    def _new(self, piece: str) -> list[int]:
-        if len(self._known) >= MEMORY:
-            self._known.clear()
-        ids = self._encode(piece)
-        if len(piece) <= SHORT:
-            self._known[piece] = ids
-        return ids
 
     def __call__(self, text: str) -> np.ndarray:
-        known, new = self._known.get, self._new
-        return np.fromiter(chain.from_iterable(known(p) or new(p) for p in self._split(text)), "<u4")
+        if LONG_SPACE.search(text):
+            return np.fromiter(chain.from_iterable(map(self._encode, self._split(text))), "<u4")
+        return np.array(self._encode(text), "<u4")
 
 
 def cuts(n: int, top: int = LENGTH) -> list[int]:
