@@ -247,31 +247,30 @@ def _passages(words: list[bytes], windows: np.ndarray, wanted: np.ndarray) -> li
 def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
     """Rows (shard, kind, doc_id, text): passages of sources (kind 0), documents of followers (kind 1)."""
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
+    wanted = followers.select(F.col("source").alias("doc_id"), "window", F.col("doc_id").alias("_of"))
     wanted = (
-        followers.select(F.col("source").alias("doc_id"), shard.alias("shard"), "window")
-        .distinct()
-        .groupBy("doc_id", "shard")
-        .agg(F.collect_list("window").alias("windows"))
+        wanted.select("doc_id", F.struct(F.pmod(F.xxhash64("_of"), F.lit(shards)).cast("int").alias("shard"), "window").alias("w"))
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("shard", "windows")).alias("wanted"))
+        .agg(F.collect_set("w").alias("w"))  # one exchange: a window once per shard that needs it
+        .select("doc_id", F.col("w.shard").alias("to"), F.col("w.window").alias("wanted"))
     )
     own = followers.select("doc_id").distinct().withColumn("follows", shard)
     roles = wanted.join(own, "doc_id", "full_outer")
-    joined = rows.join(roles, "doc_id").select("doc_id", "text", "follows", "wanted")
+    joined = rows.join(roles, "doc_id").select("doc_id", "text", "follows", "to", "wanted")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for frame in slices(frames, "text"):
             out = []
-            for doc_id, text, follows, asked in frame.itertuples(index=False):
+            for doc_id, text, follows, to, asked in frame.itertuples(index=False):
                 if not pd.isna(follows):
                     out.append((int(follows), 1, doc_id, text))
                 if asked is not None and len(asked):
                     words = split(text)
                     windows = hashes.runs(hashes(text.encode()), WINDOW)
-                    for r in asked:
-                        wanted = np.asarray(r["windows"], np.int64).view(np.uint64)
-                        out += [(r["shard"], 0, doc_id, p.decode()) for p in _passages(words, windows, wanted)]
+                    to, asked = np.asarray(to), np.asarray(asked, np.int64).view(np.uint64)
+                    for one in np.unique(to).tolist():
+                        out += [(one, 0, doc_id, p.decode()) for p in _passages(words, windows, asked[to == one])]
             if out:
                 yield pd.DataFrame(out, columns=["shard", "kind", "doc_id", "text"])
 
@@ -352,8 +351,8 @@ def remove(docs: DataFrame) -> DataFrame:
     rows = _rows(docs)
     base = written(_base(rows))
     marks = bitmap(written(_recurring(_fingerprints(rows))), "print")
-    followers = written(_followers(_windows(rows, marks)))
     spark = docs.sparkSession
+    followers = written(_followers(_windows(rows, marks)))
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), followers.count() // SHARD_WORDS)
     cut = _stream(_to_shards(rows, followers, shards), shards).dropDuplicates(["doc_id", "whole"])
     groups = base.filter(F.col("n_words") >= WINDOW).groupBy("whole")
