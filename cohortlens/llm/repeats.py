@@ -244,6 +244,21 @@ def _passages(words: list[bytes], windows: np.ndarray, wanted: np.ndarray) -> li
     return [b" ".join(words[run[0] : run[-1] + WINDOW]) for run in np.split(starts, cuts)]
 
 
+def _with_role(rows: DataFrame, followers: DataFrame) -> DataFrame:
+    """The rows whose doc_id may be a follower's or a source's: no other text needs an exchange.
+
+    The bitmap may let a row too many pass, which the join with the roles drops.
+    """
+    ids = written(followers.select(F.explode(F.array("doc_id", "source")).alias("doc_id")).distinct())
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(ids, "doc_id"))
+
+    @F.pandas_udf("boolean")
+    def may_have(doc_ids: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(shared.value, doc_ids.to_numpy().astype(np.uint64)))
+
+    return rows.filter(may_have("doc_id"))
+
+
 def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
     """Rows (shard, kind, doc_id, text): passages of sources (kind 0), documents of followers (kind 1)."""
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
@@ -256,7 +271,7 @@ def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
     )
     own = followers.select("doc_id").distinct().withColumn("follows", shard)
     roles = wanted.join(own, "doc_id", "full_outer")
-    joined = rows.join(roles, "doc_id").select("doc_id", "text", "follows", "to", "wanted")
+    joined = _with_role(rows, followers).join(roles, "doc_id").select("doc_id", "text", "follows", "to", "wanted")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
