@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import arrow_slices, slices, text_or_empty
+from cohortlens.llm.common import arrow_slices, aside, slices, text_or_empty
 
 # Field numbers and wire types of the public sentencepiece schema.
 NORMAL, UNKNOWN, BPE = 1, 2, 2
@@ -124,7 +124,8 @@ def _mapped(docs: DataFrame, extra: str, ranks: Mapping[bytes, int], pattern: st
     """``docs`` plus columns that ``row(codec, text)`` gives as a tuple."""
     model = docs.sparkSession.sparkContext.broadcast(model_bytes(ranks))
     added = T._parse_datatype_string(extra)
-    docs = docs.drop(*[f.name for f in added]).withColumn("_bpe", text_or_empty(text))
+    docs, restore = aside(docs.drop(*[f.name for f in added]), *{"_bpe"} - {text})
+    docs = docs.withColumn("_bpe", text_or_empty(text))
     if not keep:
         docs = docs.drop(text)
     schema = T.StructType([f for f in docs.schema if f.name != "_bpe"] + list(added))
@@ -139,7 +140,7 @@ def _mapped(docs: DataFrame, extra: str, ranks: Mapping[bytes, int], pattern: st
                 out[name] = pd.Series(values, index=out.index, dtype=object)
             yield out
 
-    return docs.mapInPandas(run, schema)
+    return restore(docs.mapInPandas(run, schema))
 
 
 def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,22 @@ def words_column(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_CLASS), lambda w: w != F.lit(""))
 
 
+def aside(docs: DataFrame, *reserved: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns of reserved names renamed, and what gives them their names back."""
+    taken = {c.lower() for c in docs.columns} | {r.lower() for r in reserved}
+    renamed = {}
+    for column in docs.columns:
+        if column.lower() in {r.lower() for r in reserved}:
+            free = f"{column}_given"
+            while free.lower() in taken:
+                free += "_"
+            taken.add(free.lower())
+            renamed[column] = free
+    if not renamed:
+        return docs, lambda out: out
+    return docs.withColumnsRenamed(renamed), lambda out: out.withColumnsRenamed({v: k for k, v in renamed.items()})
+
+
 def slices(frames: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """Cuts batches so that a slice holds about ``chars`` characters, one row at least."""
     for frame in frames:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices, text_or_empty
+from cohortlens.llm.common import aside, slices, text_or_empty
 from cohortlens.sources.tables import written
 
 WINDOW, SMALLEST, LONGEST = 7, 3, 64
@@ -88,17 +88,18 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``fingerprint``."""
+    """Adds ``fingerprint``, which replaces a column of this name; all others stay."""
     from pyspark.sql import types as T
 
-    docs = docs.drop("fingerprint").withColumn("_text", text_or_empty(text))
+    docs, restore = aside(docs.drop("fingerprint"), *{"_text"} - {text})
+    docs = docs.withColumn("_text", text_or_empty(text))
     schema = T.StructType([f for f in docs.schema if f.name != "_text"] + [T.StructField("fingerprint", T.StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "_text"):
             yield frame.drop(columns="_text").assign(fingerprint=[fingerprint(t) for t in frame["_text"]])
 
-    return docs.mapInPandas(run, schema)
+    return restore(docs.mapInPandas(run, schema))
 
 
 EDITED = (

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import text_or_empty, words_column
+from cohortlens.llm.common import aside, text_or_empty, words_column
 from cohortlens.sources.tables import written
 
 
@@ -174,7 +174,8 @@ def rates(docs: DataFrame, labelled: DataFrame, labels: DataFrame, mixing: Mixin
 
 
 def draw(docs: DataFrame, rated: DataFrame) -> DataFrame:
-    """``docs`` in the mix: each row as often as its rate says, the fraction by a hash of its key."""
+    """``docs`` in the mix: each row as often as its rate says, the fraction by a hash of its key. All its columns stay."""
+    docs, restore = aside(docs, "_key", "_id", "_of", "_rate", "_copies", "_copy")
     keyed = docs.withColumn("_key", F.xxhash64(text_or_empty()))
     rate = rated.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of"), F.col("rate").alias("_rate"))
     joined = keyed.join(rate, keyed["doc_id"].eqNullSafe(rate["_id"]) & (keyed["_key"] == rate["_of"]))
@@ -182,4 +183,4 @@ def draw(docs: DataFrame, rated: DataFrame) -> DataFrame:
     copies = (F.floor("_rate") + (chance < F.col("_rate") - F.floor("_rate")).cast("int")).cast("int")
     times = joined.withColumn("_copies", copies).filter("_copies > 0")
     repeated = times.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col(c) for c in docs.columns])
+    return restore(repeated.select(*[F.col(c) for c in docs.columns]))

@@ -33,10 +33,10 @@ from itertools import accumulate, compress
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bitmap, in_bitmap, slices, text_or_empty, words_column
+from cohortlens.llm.common import aside, bitmap, in_bitmap, slices, text_or_empty, words_column
 from cohortlens.llm.skew import lookup_join
 from cohortlens.sources.tables import written
 
@@ -126,8 +126,12 @@ def split(text: str) -> list[bytes]:
     return text.encode().split()
 
 
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_or_empty().alias("text"))
+    return docs.select(_id().alias("doc_id"), text_or_empty().alias("text"))
 
 
 def _digest(words: Iterable[bytes]) -> str:
@@ -244,19 +248,18 @@ def _passages(words: list[bytes], windows: np.ndarray, wanted: np.ndarray) -> li
     return [b" ".join(words[run[0] : run[-1] + WINDOW]) for run in np.split(starts, cuts)]
 
 
-def _with_role(rows: DataFrame, followers: DataFrame) -> DataFrame:
-    """The rows whose doc_id may be a follower's or a source's: no other text needs an exchange.
+def _may_be(ids: DataFrame) -> Column:
+    """Whether a row's doc_id may be among ``ids`` (a written table); false only where it is not.
 
-    The bitmap may let a row too many pass, which the join with the roles drops.
+    Texts of which it is false need no exchange for a join with ``ids``.
     """
-    ids = written(followers.select(F.explode(F.array("doc_id", "source")).alias("doc_id")).distinct())
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap(ids, "doc_id"))
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap(ids, "doc_id"))
 
     @F.pandas_udf("boolean")
-    def may_have(doc_ids: pd.Series) -> pd.Series:
+    def among(doc_ids: pd.Series) -> pd.Series:
         return pd.Series(in_bitmap(shared.value, doc_ids.to_numpy().astype(np.uint64)))
 
-    return rows.filter(may_have("doc_id"))
+    return among(_id())
 
 
 def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
@@ -271,7 +274,8 @@ def _to_shards(rows: DataFrame, followers: DataFrame, shards: int) -> DataFrame:
     )
     own = followers.select("doc_id").distinct().withColumn("follows", shard)
     roles = wanted.join(own, "doc_id", "full_outer")
-    joined = _with_role(rows, followers).join(roles, "doc_id").select("doc_id", "text", "follows", "to", "wanted")
+    ids = written(followers.select(F.explode(F.array("doc_id", "source")).alias("doc_id")).distinct())
+    joined = rows.filter(_may_be(ids)).join(roles, "doc_id").select("doc_id", "text", "follows", "to", "wanted")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
@@ -391,15 +395,22 @@ def remove(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """``docs`` with the words removed: a text that lost words is what is left, joined by one
-    blank each, and ``n_chars``, if there, its length; other texts stay as they are."""
+    blank each, and ``n_chars``, if there, its length; other texts stay as they are, and so do
+    all other columns, whatever their names.
+
+    Only rows whose doc_id lost words somewhere are exchanged.
+    """
+    docs, restore = aside(docs, "_id", "_of", "_kept", "_whole")
     removed = remove(docs).filter("n_removed > 0").dropDuplicates(["doc_id", "whole"])
-    changed = removed.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_of"), F.col("kept").alias("_kept"))
+    changed = written(removed.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_of"), F.col("kept").alias("_kept")))
+    touched = _may_be(changed.select(F.coalesce("_id", F.lit(NO_ID)).alias("doc_id")))
     digest = F.sha2(F.array_join(words_column(text_or_empty()), " "), 256)
-    joined = docs.withColumn("_whole", digest).join(
+    joined = docs.filter(touched).withColumn("_whole", digest).join(
         changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_whole") == F.col("_of")), "left"
     )
     new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in docs.columns:
         length = F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col("n_chars"))
         new["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns(new).select(*docs.columns)
+    cut = joined.withColumns(new).select(*docs.columns)
+    return restore(cut.unionByName(docs.filter(~touched)))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import SPACES, text_or_empty, words_column
+from cohortlens.llm.common import SPACES, aside, text_or_empty, words_column
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -77,6 +77,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     Repeated windows are found by their 64-bit hashes: where all hashes of a text
     differ, nothing more is done, else they are sorted and neighbours compared.
     """
+    own = ("_text", "_words", "_windows", "_again", "_sorted", "_hits", "_lines")
+    docs, restore = aside(docs, *{*own} - {text})
     raw = text_or_empty(text)
     step = docs.withColumn("_text", raw).withColumn("_words", words_column(F.col("_text")))
     step = step.withColumn("n_words", F.size("_words").cast("long"))
@@ -103,7 +105,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_upper_pairs": F.regexp_count("_text", F.lit("[A-Z][A-Z]")).cast("long"),
         }
     )
-    return step.withColumns(
+    step = step.withColumns(
         {
             "repeat_percent": F.col("n_repeat_words") * 100 / n,
             "mean_word_length": F.col("word_chars") / n,
@@ -112,7 +114,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "stop_word_share": F.col("n_stop_words") / n,
             "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         }
-    ).drop("_text", "_words", "_windows", "_again", "_sorted", "_hits", "_lines")
+    )
+    return restore(step.drop(*own))
 
 
 def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:

@@ -44,7 +44,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices, text_or_empty
+from cohortlens.llm.common import aside, slices, text_or_empty
 
 GAP, DECAY = 2, 0.6
 PATTERNS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 2) for b in range(1, GAP + 2)]
@@ -340,15 +340,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` plus ``score`` and ``predicted``."""
+    """``docs`` plus ``score`` and ``predicted``, which replace columns of these names; all others stay."""
     from pyspark.sql import types as T
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("score").withColumn("_text", text_or_empty())
+    docs, restore = aside(docs.drop("score"), "_text")
+    docs = docs.withColumn("_text", text_or_empty())
     schema = T.StructType([f for f in docs.schema if f.name != "_text"] + [T.StructField("score", T.DoubleType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "_text", 1_000_000):
             yield frame.drop(columns="_text").assign(score=shared.value.scores(list(frame["_text"])))
 
-    return docs.mapInPandas(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return restore(docs.mapInPandas(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
