@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.operators.ranges import previous
+from cohortlens.operators.ranges import previous, running_totals
 from cohortlens.operators.rates import breakdown, counts_by, group_count, rate
 
 # The advice lines of the digest.
@@ -33,6 +33,20 @@ def by_probability(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("dropout_probability"), "student_id")
 
 
+def ranked(df: DataFrame) -> DataFrame:
+    """Adds ``alert_rank``: a row's place in the order of ``by_probability``, from 1, none twice.
+
+    NULL probabilities come last, then NULL ids. The table is cut into ranges and counted, so no
+    task sorts all of it. ``student_id`` must tell rows of one probability apart, else their order
+    among each other is open.
+    """
+    order = {"_none": F.col("dropout_probability").isNull(), "_down": -F.col("dropout_probability"), "_one": F.lit(1)}
+    unnamed = F.col("student_id").isNull()
+    counted = running_totals(df.withColumns({**order, "_unnamed": unnamed}), ["_none", "_down", "_unnamed", "student_id"], ["_one"])
+    place = (F.col("_one_before") + 1).cast("long")
+    return counted.withColumn("alert_rank", place).select(*df.columns, "alert_rank")
+
+
 def top_k(alerts: DataFrame, k: int = 5) -> DataFrame:
     return by_probability(alerts.select("student_id", "dropout_probability")).limit(k)
 

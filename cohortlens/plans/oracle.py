@@ -543,6 +543,9 @@ FROM (
     ),
     "alert_threshold_ge": _gold("SELECT * FROM alerts"),
     "alert_threshold_gt": _gold("SELECT * FROM predictions WHERE dropout_probability > 0.7"),
+    "alert_ranked": _gold(
+        "SELECT *, row_number() OVER (ORDER BY dropout_probability DESC, student_id) AS alert_rank FROM alerts"
+    ),
     "alert_count": _gold("SELECT count(*) AS high_risk_count FROM alerts"),
     "alert_topk": _gold("SELECT * FROM alerts ORDER BY dropout_probability DESC, student_id LIMIT 5"),
     "alert_driver_counts": _gold(

@@ -450,6 +450,11 @@ def pred_with_risk_topk(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.predictions_with_risk(_predictions(profile), profile, RULES.walkthrough_top_k)
 
 
+def _alert_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """What alerts and their breakdowns read of the profile, stored once."""
+    return written(_profile(spark, sf).select("student_id", "risk_score", "primary_risk_driver", "grade_level"))
+
+
 def _alerts(profile: DataFrame) -> DataFrame:
     return alerts.high_risk(_predictions(profile), RULES.alert_probability)
 
@@ -463,6 +468,11 @@ def alert_threshold_gt(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.by_probability(alerts.high_risk(predictions, RULES.alert_probability, inclusive=False))
 
 
+def alert_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """All alerts with their place in the order of the alert list."""
+    return alerts.ranked(_alerts(_profile(spark, sf)))
+
+
 def alert_count(spark: SparkSession, sf: str) -> DataFrame:
     return _alerts(_profile(spark, sf)).agg(F.count("*").alias("high_risk_count"))
 
@@ -472,22 +482,22 @@ def alert_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_driver_counts(spark: SparkSession, sf: str) -> DataFrame:
-    profile = written(_profile(spark, sf))
+    profile = _alert_profile(spark, sf)
     return alerts.driver_counts(_alerts(profile), profile)
 
 
 def alert_grade_counts(spark: SparkSession, sf: str) -> DataFrame:
-    profile = written(_profile(spark, sf))
+    profile = _alert_profile(spark, sf)
     return alerts.grade_counts(_alerts(profile), profile)
 
 
 def alert_breakdown_sets(spark: SparkSession, sf: str) -> DataFrame:
-    profile = written(_profile(spark, sf))
+    profile = _alert_profile(spark, sf)
     return alerts.driver_and_grade_counts(_alerts(profile), profile)
 
 
 def alert_digest(spark: SparkSession, sf: str) -> DataFrame:
-    profile = written(_profile(spark, sf))
+    profile = _alert_profile(spark, sf)
     return alerts.digest(_alerts(profile), profile, RULES.alert_top_k)
 
 
@@ -580,6 +590,7 @@ QUERIES: dict[str, Query] = {
         pred_with_risk_topk,
         alert_threshold_ge,
         alert_threshold_gt,
+        alert_ranked,
         alert_count,
         alert_topk,
         alert_driver_counts,

@@ -87,3 +87,19 @@ def test_wrong_weights_break_the_score_equations(spark):
     assert len(gram) == 28
     assert gram["risk_score", "grade_level"] == pytest.approx(sum(r[3] * r[4] for r in rows))
     assert df.select(F.sum("label")).first()[0] == round(good[0].observed)
+
+
+@pytest.mark.parametrize("inline", [True, False])
+def test_alert_ranks(spark, inline, monkeypatch):
+    monkeypatch.setattr(ranges, "MOST_INLINE", 200 if inline else -1)
+    rng = random.Random(3)
+    rows = [(f"s{i:04}", rng.choice([0.7, 0.9, 1.0, rng.random()])) for i in range(500)]
+    rows += [(None, 0.9), ("a", None), (None, None)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "student_id string, dropout_probability double")
+    key = lambda r: (r[1] is None, -(r[1] or 0), r[0] is None, r[0] or "")
+    want = [(*r, place) for place, r in enumerate(sorted(rows, key=key), 1)]
+    ranked = alerts.ranked(df)
+    assert sorted(map(tuple, ranked.collect()), key=lambda r: r[2]) == want
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert alerts.ranked(df.filter("false")).count() == 0
