@@ -95,22 +95,35 @@ def write_archives(record_rows: DataFrame, folder: str, per_archive: int = 20_00
     writer.option("maxRecordsPerFile", per_archive).text(folder)
 
 
-def _headers(stream) -> dict[str, str] | None:
-    """The header fields of the next record, None at the end."""
+def _headers(stream) -> tuple[bytes, dict[str, str]] | None:
+    """The bytes of the next record's version line, fields and blank line, and the fields by
+    their names in lower case; None at the end.
+
+    A line that begins with white space goes on with the field before it; of a repeated
+    field the first counts.
+    """
     first = stream.readline()
     if not first:
         return None
     if not first.startswith(b"WARC/"):
         raise ValueError("no record where one should begin")
-    fields = {}
-    while (line := stream.readline().rstrip(b"\r\n")):
-        key, _, value = line.decode().partition(":")
-        fields[key.strip().lower()] = value.strip()
-    return fields
-
-
-def _text_of(fields: dict[str, str]) -> bytes:
-    return "".join([VERSION, "\r\n", *[f"{k}: {v}\r\n" for k, v in fields.items()], "\r\n"]).encode()
+    lines, fields, name = [first], {}, None
+    while line := stream.readline():
+        lines.append(line)
+        text = line.rstrip(b"\r\n").decode(errors="replace")
+        if not text:
+            return b"".join(lines), {k: " ".join(v) for k, v in fields.items()}
+        key, colon, value = text.partition(":")
+        if text[0] in " \t":
+            if name:
+                fields[name].append(text.strip())
+        elif colon:
+            name = key.strip().lower()
+            if name in fields:
+                name = None
+            else:
+                fields[name] = [value.strip()]
+    raise ValueError("the archive ends within a record's fields")
 
 
 def _filesystem(uri: str):
@@ -132,9 +145,10 @@ def normalise_one(source: str, target: str) -> tuple[int, int]:
     with store.open_input_stream(path, compression=None) as raw, out_store.open_output_stream(out_path, compression=None) as out:
         with out_store.open_output_stream(out_path + ".idx.json", compression=None) as index:
             stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), PIECE)
-            while (fields := _headers(stream)) is not None:
+            while (found := _headers(stream)) is not None:
+                head, fields = found
                 member = zlib.compressobj(6, zlib.DEFLATED, 31)
-                size = _put(out, member.compress(_text_of(fields)))
+                size = _put(out, member.compress(head))
                 left = int(fields["content-length"])
                 while left:
                     piece = stream.read(min(left, PIECE))
@@ -191,7 +205,7 @@ def _page(value: str | None) -> int | None:
 def read_record(data: bytes) -> tuple:
     """One member's record, its payload digest checked where it has the payload."""
     stream = io.BytesIO(gzip.decompress(data))
-    fields = _headers(stream)
+    _, fields = _headers(stream)
     head, _, payload = stream.read(int(fields["content-length"])).partition(GAP.encode())
     size = int(re.search(rb"(?im)^content-length:\s*(\d+)", head)[1])
     kind = fields["warc-type"]

@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import json
 
+import pytest
 from cohortlens.llm import warc
 from cohortlens.session import shared_folder
 
@@ -55,6 +57,33 @@ def test_members_stand_alone_and_make_up_the_stream(spark, frame):
     members = [Path(r.archive).read_bytes()[r.offset : r.offset + r.length] for r in sorted(index, key=lambda r: (r.archive, r.offset))]
     plain = [gzip.decompress(m) for m in members]
     assert all(p.startswith(b"WARC/1.1\r\n") and p.endswith(b"\r\n\r\n") for p in plain)
-    strip = lambda data: data.replace(b"\r\n", b"\n").lower()
-    assert strip(b"".join(plain)) == strip(before)
+    assert b"".join(plain) == before
     assert sum(map(len, members)) == sum(p.stat().st_size for p in Path(folder, "b").glob("*.warc.gz"))
+
+
+def record(version, fields, block):
+    head = [version, *fields, f"Content-Length: {len(block)}", "", ""]
+    return "\r\n".join(head).encode() + block + b"\r\n\r\n"
+
+
+def test_fields_of_other_writers_keep_their_bytes(tmp_path):
+    given = [
+        record("WARC/1.0", ["WARC-Type: warcinfo", "warc-record-ID:<urn:a>", "X-Note: one", "X-Note: Two"], b"software: x\r\n"),
+        record("WARC/1.1", ["WARC-Record-ID:  <urn:b> ", "X-Long: begins", "\tgoes on: here", "no colon", "X-Umlaut: \u00e9"], b""),
+        record("WARC/1.1", ["WARC-Record-ID: <urn:c>", "WARC-Type: resource"], b"\r\n\r\nWARC/1.0\r\n" * 1000),
+    ]
+    source, target = tmp_path / "whole.gz", tmp_path / "single.warc.gz"
+    source.write_bytes(gzip.compress(b"".join(given)))
+    count, size = warc.normalise_one(f"file://{source}", f"file://{target}")
+    index = [json.loads(line) for line in (tmp_path / "single.warc.gz.idx.json").read_text().splitlines()]
+    data = target.read_bytes()
+    assert (count, size) == (3, len(data))
+    assert [gzip.decompress(data[i["offset"] : i["offset"] + i["length"]]) for i in index] == given
+    assert [i["record"] for i in index] == ["<urn:a>", "<urn:b>", "<urn:c>"]
+
+
+@pytest.mark.parametrize("broken", [b"HTTP/1.1\r\n", b"WARC/1.1\r\nWARC-Type: x\r\n", record("WARC/1.1", ["WARC-Record-ID: x"], b"abc")[:-6]])
+def test_broken_archives_are_refused(tmp_path, broken):
+    (tmp_path / "broken.gz").write_bytes(gzip.compress(broken))
+    with pytest.raises(ValueError):
+        warc.normalise_one(f"file://{tmp_path}/broken.gz", f"file://{tmp_path}/out.warc.gz")
